@@ -35,7 +35,7 @@ def benchmark_windows(benchmark: DataFrame, n: int = N) -> DataFrame:
     return (
         benchmark.select(F.col("item_id").cast("string").alias("_item"), words(F.col("text")).alias("_w"))
         .where((size > 0) & F.col("_item").isNotNull())
-        .select("_item", F.explode(F.transform(starts, lambda i: F.slice(w, i, width))).alias("_window"))
+        .select("_item", F.explode_outer(F.transform(starts, lambda i: F.slice(w, i, width))).alias("_window"))
         .groupBy("_window").agg(F.collect_set("_item").alias("_items"))
         .select(F.xxhash64("_window").alias("_h"), F.size("_window").alias("_size"), "_window", "_items")
     )
@@ -62,8 +62,9 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N, block: int = BL
         hashes = F.concat(hashes, _window_hashes(F.col("_w"), size))
     base = docs.select("doc_id", text_digest(F.col("text")).alias("_digest"), words(F.col("text")).alias("_w"))
     # The hashes are made in a projection of their own: the explode then runs in generated code, beside the probe, and
-    # passes the words on by reference instead of copying them for each window.
-    probes = base.withColumn("_hashes", hashes).select("doc_id", "_digest", "_w", F.explode("_hashes").alias("_p"))
+    # passes the words on by reference instead of copying them for each window. The arrays are never empty; a plain
+    # explode would infer a filter on their size, in which the text is tokenised again for each window.
+    probes = base.withColumn("_hashes", hashes).select("doc_id", "_digest", "_w", F.explode_outer("_hashes").alias("_p"))
     found = None
     for k in range(blocks):
         own = windows.where(F.pmod(F.xxhash64("_window", F.lit("block")), F.lit(blocks)) == k) if blocks > 1 else windows
