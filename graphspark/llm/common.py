@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,4 +37,8 @@ def text_digest(text: Column) -> Column:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table of ``sf_dir``. Python workers that are started from now on find this package where the driver found it."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(filter(None, [env.get("PYTHONPATH"), root]))
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
