@@ -3,8 +3,9 @@
 Rows with equal shingle sets form classes, and classes are compared. Every class keeps its ``K`` least shingle hashes.
 Inverted lists of these values give overlaps, and a class is listed only under its rarest values: two sketches that
 share ``needed`` values share one of the rarest len - needed + 1 of each, so frequent values need no lists. A list first
-links its members to one pivot; members that end in one component need no further pair. Open lists then pair what is
-still apart. The union of two sketches estimates the similarity, and what may reach the threshold is verified on the
+links its members to one pivot; members that end in one component need no further pair. Open lists then count the
+overlaps of what is still apart, in cells by size and blocks of bounded size, and cells in which many are alike are
+verified as a whole. The union of two sketches estimates the similarity, and what may reach the threshold is verified on the
 full sets.
 """
 
@@ -24,9 +25,13 @@ from .common import read, store
 from .graphs import components
 
 #: Values of a sketch; the chance that a pair at the threshold has too few of them in common.
-K, MISS = 24, 1e-9
+K, MISS = 64, 1e-9
 #: Ids that may be broadcast (about 40 bytes each).
 BROADCAST_ROWS = 400_000
+#: Members of a list that a task compares with as many others.
+BLOCK = 2048
+#: Shingles of a side of a cell; pairs that are alike, for each member of a cell, beyond which it is compared as a whole.
+SHINGLES, DENSE = 1 << 20, 8
 
 
 @lru_cache(maxsize=16)
@@ -64,14 +69,15 @@ def sketches(docs: DataFrame, width: int, k: int = K) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, digest binary, sketch array<long>")
 
 
-def _alike(n: str, other_n: str, sketch: str, other: str, percent: int, least: int, k: int) -> Column:
-    """If two sets may reach the threshold, by their sizes and by the union of their sketches."""
-    sizes = F.least(n, other_n) * 100 >= F.greatest(n, other_n) * percent
-    both, either = F.array_intersect(sketch, other), F.array_union(sketch, other)
+def _alike(percent: int, k: int) -> Column:
+    """If the sets of a row's two sides (n, sketch; _n, _sketch) may reach the threshold, by their sizes and by the union
+    of their sketches."""
+    sizes = F.least("n", "_n") * 100 >= F.greatest("n", "_n") * percent
+    both, either = F.array_intersect("sketch", "_sketch"), F.array_union("sketch", "_sketch")
     shared = F.size(F.array_intersect(both, F.slice(F.array_sort(either), 1, k)))
     # A sketch of a set of up to k shingles is the set.
-    whole = (F.col(n) <= k) & (F.col(other_n) <= k)
-    return sizes & F.when(whole, F.size(both) * 100 >= F.size(either) * percent).otherwise(shared >= least)
+    whole = F.greatest("n", "_n") <= k
+    return sizes & F.when(whole, F.size(both) * 100 >= F.size(either) * percent).otherwise(shared >= needed(percent / 100, k))
 
 
 def _bounded(df: DataFrame) -> DataFrame:
@@ -79,12 +85,16 @@ def _bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def _texts(docs: DataFrame, digests: DataFrame, classes: DataFrame) -> DataFrame:
+    """digest and text of the rows that stand for the classes; where a doc_id is repeated, also of its other rows."""
+    wanted = store(digests.distinct().join(classes.select("digest", "doc_id"), "digest"), "wanted")
+    same = docs["doc_id"].eqNullSafe(wanted["doc_id"])
+    return store(docs.select("doc_id", F.col("text").cast("string").alias("text")).join(_bounded(wanted), same).select("digest", "text"), "texts")
+
+
 def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """The ``pairs`` (a, b) of classes whose full sets reach the threshold."""
-    wanted = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct().join(classes.select("digest", "doc_id"), "digest")
-    wanted = store(wanted, "wanted")
-    same = docs["doc_id"].eqNullSafe(wanted["doc_id"])
-    texts = store(docs.select("doc_id", F.col("text").cast("string").alias("text")).join(_bounded(wanted), same).select("digest", "text"), "texts")
+    texts = _texts(docs, pairs.select(F.col("a").alias("digest")).union(pairs.select("b")), classes)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -121,39 +131,204 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int,
 
 
 def _listed(classes: DataFrame, percent: int, k: int) -> DataFrame:
-    """The inverted lists: value, digest, n, sketch; each class under the rarest of its values that others have too."""
+    """The inverted lists: value, digest, rank; each class under the rarest of its values that others have too.
+
+    rank orders a class by how common its values are: the middle of a group of copies comes last.
+    """
     values = classes.select("digest", "n", F.explode("sketch").alias("value"))
     shared = values.groupBy("value").agg(F.count("*").alias("_df")).where(F.col("_df") > 1)
     size = F.least(F.col("n"), F.lit(k))
     least = F.least(F.lit(needed(percent / 100, k)), F.ceil(F.col("n") * percent / 100))
     # Values that no other class has come first; they take up places but need no lists.
-    own = values.join(shared, "value").groupBy("digest", "n").agg(F.array_sort(F.collect_list(F.struct("_df", "value"))).alias("_v"))
+    own = values.join(shared, "value").groupBy("digest", "n").agg(F.array_sort(F.collect_list(F.struct("_df", "value"))).alias("_v"), F.sum("_df").alias("_sum"))
     places = (size - least + 1) - (size - F.size("_v"))
-    picked = own.where(places > 0).select("digest", "n", F.explode(F.slice("_v", F.lit(1), places.cast("int"))).alias("_v"))
-    return picked.select("digest", F.col("_v.value").alias("value")).join(classes.select("digest", "n", "sketch"), "digest")
+    rank = F.struct(F.col("_sum") / size, "digest").alias("rank")
+    picked = own.where(places > 0).select("digest", rank, F.explode(F.slice("_v", F.lit(1), places.cast("int"))).alias("_v"))
+    return picked.select(F.col("_v.value").alias("value"), "digest", "rank")
 
 
 def links(docs: DataFrame, classes: DataFrame, width: int, percent: int, k: int = K) -> DataFrame:
     """Verified links (a, b) between ``classes`` (digest, doc_id, n, sketch); together they join all that is near."""
-    least = needed(percent / 100, k)
     lists = store(_listed(classes, percent, k), "lists")
-    pivots = lists.groupBy("value").agg(F.min(F.struct("digest", "n", "sketch")).alias("_p"))
-    to_pivot = (
-        lists.join(pivots, "value").where(F.col("digest") != F.col("_p.digest"))
-        .select(F.col("_p.digest").alias("a"), F.col("digest").alias("b"), F.col("n"), "sketch", F.col("_p.n").alias("_pn"), F.col("_p.sketch").alias("_ps"))
-        .where(_alike("n", "_pn", "sketch", "_ps", percent, least, k)).select("a", "b").distinct()
-    )
-    first = store(_verified(docs, store(to_pivot, "pairs"), classes, width, percent), "verified")
+    members = store(classes.join(_bounded(store(lists.select("digest").distinct(), "listed")), "digest"), "members")
+    sides = members.select("digest", "n", "sketch")
+    other = members.select(F.col("digest").alias("b"), F.col("n").alias("_n"), F.col("sketch").alias("_sketch"))
+    pivots = lists.groupBy("value").agg(F.max("rank").alias("_p"))
+    starred = lists.join(pivots, "value").where(F.col("digest") != F.col("_p.digest")).select(F.col("_p.digest").alias("digest"), F.col("digest").alias("b")).distinct()
+    likely = starred.join(sides, "digest").join(other, "b").where(_alike(percent, k)).select(F.col("digest").alias("a"), "b")
+    first = store(_verified(docs, store(likely, "pairs"), members, width, percent), "verified")
     roots = store(components(first).withColumnsRenamed({"node": "digest"}), "roots")
     marked = lists.join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-    # What is apart in a list: everything against the members that are not with the pivot.
-    chief = marked.groupBy("value").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.min(F.struct("digest", "root")).alias("_p")).where(F.col("_low") != F.col("_high"))
-    open_ = store(marked.join(chief.select("value", F.col("_p.root").alias("_chief")), "value"), "open")
-    own = open_.where(F.col("root") != F.col("_chief")).select("value", F.col("digest").alias("a"), F.col("root").alias("_ra"), F.col("n").alias("_na"), F.col("sketch").alias("_sa"))
-    other = open_.select("value", F.col("digest").alias("b"), F.col("root").alias("_rb"), F.col("n").alias("_nb"), F.col("sketch").alias("_sb"), "_chief")
-    apart = own.join(other, "value").where((F.col("_ra") != F.col("_rb")) & ((F.col("_rb") == F.col("_chief")) | (F.col("a") < F.col("b"))) & _alike("_na", "_nb", "_sa", "_sb", percent, least, k))
-    rest = store(apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    return first.union(store(_verified(docs, rest, classes, width, percent), "verified"))
+    # Lists whose members are still apart, those of one pivot as one.
+    chief = marked.groupBy("value").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.max("rank").alias("_p")).where(F.col("_low") != F.col("_high"))
+    apart = marked.join(chief.select("value", F.col("_p.digest").alias("pivot")), "value").select("pivot", "digest", "root").distinct()
+    met = store(_overlaps(apart.join(sides, "digest"), percent, k), "met")
+    dense = _dense(docs, met.where(F.col("cell").isNotNull()), members, width, percent)
+    pairs = met.where(F.col("cell").isNull()).select("a", "b").distinct().join(first.select("a", "b").union(first.select("b", "a")), ["a", "b"], "left_anti")
+    return first.union(store(_verified(docs, store(pairs, "pairs"), members, width, percent), "verified")).union(dense)
+
+
+class Counter:
+    """How many values each of some sets has in common with each of others, by inverted lists of the others' values."""
+
+    def __init__(self, far: list[np.ndarray]):
+        values, holder = np.concatenate([np.zeros(0, np.int64), *far]), np.repeat(np.arange(len(far)), [len(x) for x in far])
+        by = np.argsort(values, kind="stable")
+        self.values, self.holder, self.n = values[by], holder[by], len(far)
+
+    def counts(self, own: list[np.ndarray]) -> Iterator[tuple[int, int, np.ndarray]]:
+        """For runs i to j of ``own``, a matrix."""
+        limit = max(1, (1 << 20) // max(1, self.n))
+        for i in range(0, len(own), limit):
+            part = own[i : i + limit]
+            mine = np.concatenate([np.zeros(0, np.int64), *part])
+            low = np.searchsorted(self.values, mine)
+            m = np.searchsorted(self.values, mine, side="right") - low
+            row = np.repeat(np.arange(len(part)), [len(x) for x in part]) * self.n
+            total, ends = np.zeros(len(part) * self.n, np.int64), np.cumsum(m)
+            a = 0
+            while a < len(m):
+                # Hits are counted in portions of a few million.
+                b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + (1 << 22))))
+                hits = self.holder[np.arange(int(m[a:b].sum())) + np.repeat(low[a:b] - (np.cumsum(m[a:b]) - m[a:b]), m[a:b])]
+                total += np.bincount(np.repeat(row[a:b], m[a:b]) + hits, minlength=len(total))
+                a = b
+            yield i, i + len(part), total.reshape(len(part), self.n)
+
+
+def _cells(batches: Iterator, arrays: bool) -> Iterator[list[tuple]]:
+    """The rows of each value of the first column, of batches sorted by it; arrays in the last column are taken as such if ``arrays``."""
+    key, group = None, []
+    for batch in batches:
+        last = batch.column(batch.num_columns - 1)
+        if arrays:
+            flat, at = last.flatten().to_numpy(), last.offsets.to_numpy()
+            ends = np.split(flat.astype(np.int64), (at - at[0])[1:-1])
+        else:
+            ends = last.to_pylist()
+        for *x, end in zip(*[batch.column(c).to_pylist() for c in range(batch.num_columns - 1)], ends, strict=True):
+            if x[0] != key:
+                if group:
+                    yield group
+                key, group = x[0], []
+            group.append((*x, end))
+    if group:
+        yield group
+
+
+#: Sides of a cell that a member is on: both, only that which is compared with, only that which compares.
+BOTH, FAR, OWN = 0, 1, 2
+
+
+def _overlaps(groups: DataFrame, percent: int, k: int, block: int = BLOCK) -> DataFrame:
+    """What is alike by its sketches among the members of each pivot (pivot, digest, root, n, sketch) that have two roots.
+
+    A group falls into cells by size, in steps of the threshold: a member meets those of its own step and of the next.
+    Cells of more than ``block`` members are cut on both sides, so that no task ever holds more than two blocks. In a
+    cell, inverted lists of the sketches count the overlaps of all pairs at once. Where few are alike, their pairs are
+    given (a, b); where many are, the cell's members (a: digest, b: root, cell, side).
+    """
+    step = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9).cast("int")
+    # The upper 32 bits keep the order; what falls together can only add to an overlap.
+    short = F.transform("sketch", lambda v: (F.shiftright(v, 31) - F.lit(1 << 31)).cast("int"))
+    both = groups.select("pivot", "digest", "root", "n", short.alias("short"), (F.abs(F.hash("digest")) % 65536).alias("_h"), F.explode(F.array(F.struct(step.alias("cell"), F.lit(BOTH).alias("side")), F.struct((step - 1).alias("cell"), F.lit(FAR).alias("side")))).alias("_c")).select("*", "_c.*")
+    many = both.groupBy("pivot", "cell").agg(
+        F.ceil(F.greatest(F.count("*") / block, F.sum("n") / SHINGLES)).cast("int").alias("_g"), F.min("root").alias("_low"), F.max("root").alias("_high"), F.min("side").alias("_own")
+    )
+    many = store(many.where((F.col("_low") != F.col("_high")) & (F.col("_own") == BOTH)).select("pivot", "cell", "_g"), "cells")
+    here = both.join(many, ["pivot", "cell"])
+    part, each = F.col("_h") % F.col("_g"), F.sequence(F.lit(0), F.col("_g") - 1)
+    one = here.where("_g = 1").select("*", F.lit(0).cast("int").alias("r"), F.lit(0).cast("int").alias("s"))
+    far = here.where("_g > 1").withColumn("side", F.lit(FAR)).select("*", F.explode(each).alias("r"), part.cast("int").alias("s"))
+    own = here.where(f"_g > 1 AND side = {BOTH}").withColumn("side", F.lit(OWN)).select("*", part.cast("int").alias("r"), F.explode(each).alias("s"))
+    names = ["cid", "side", "digest", "root", "n", "short"]
+    placed = one.unionByName(far).unionByName(own).withColumn("cid", F.xxhash64("pivot", "cell", "r", "s")).select(*names)
+    least = needed(percent / 100, k)
+
+    def padded(sketches_: list[np.ndarray], beyond: int) -> np.ndarray:
+        out = np.arange(k, dtype=np.int64) + np.zeros((len(sketches_), 1), np.int64) + (beyond << 40)
+        for x, s in enumerate(sketches_):
+            out[x, : len(s)] = s
+        return out
+
+    def compare(group: list[tuple]) -> list[tuple] | None:
+        own, far = [x for x in group if x[1] != FAR], [x for x in group if x[1] != OWN]
+        number: dict[bytes, int] = {}
+        root_own, root_far = (np.asarray([number.setdefault(x[3], len(number)) for x in side], np.int64) for side in (own, far))
+        if len(number) < 2 or not own or not far:
+            return []
+        n_own, n_far = np.asarray([x[4] for x in own])[:, None], np.asarray([x[4] for x in far])[None, :]
+        wide_own, wide_far = padded([x[5] for x in own], 1), padded([x[5] for x in far], 2)
+        out: list[tuple] = []
+        for i, j, shared in Counter([x[5] for x in far]).counts([x[5] for x in own]):
+            smaller, larger = np.minimum(n_own[i:j], n_far), np.maximum(n_own[i:j], n_far)
+            x, y = np.nonzero((shared >= np.minimum(least, -(-smaller * percent // 100))) & (smaller * 100 >= larger * percent) & (root_own[i:j, None] != root_far[None, :]))
+            for at in range(0, len(x), 1 << 12):
+                p, q = x[at : at + (1 << 12)], y[at : at + (1 << 12)]
+                merged = np.concatenate([wide_own[i + p], wide_far[q]], 1)
+                merged.sort(axis=1)
+                same = merged[:, 1:] == merged[:, :-1]
+                union = (same & (np.arange(1, 2 * k) - np.cumsum(same, axis=1) < k)).sum(1)
+                total = same.sum(1)
+                whole = larger[p, q] <= k
+                good = np.where(whole, total * 100 >= (n_own[i + p, 0] + n_far[0, q] - total) * percent, union >= least)
+                for u, v in zip(p[good].tolist(), q[good].tolist(), strict=True):
+                    d, e = own[i + u][2], far[v][2]
+                    out.append((min(d, e), max(d, e), None, None))
+                if len(out) > DENSE * len(group):
+                    return None
+        return out
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int32()]
+        for group in _cells(batches, True):
+            found = compare(group)
+            if found is None:
+                found = [(x[2], x[3], x[0], x[1]) for x in group]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)], names=["a", "b", "cell", "side"])
+
+    return placed.repartition("cid").sortWithinPartitions("cid").mapInArrow(run, "a binary, b binary, cell long, side int")
+
+
+def _dense(docs: DataFrame, cells: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) in cells where many are alike (a: digest, b: root, cell, side), on the full sets: enough of them to join
+    all roots that links join."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for group in _cells(batches, False):
+            data = [np.frombuffer(x[4].encode(), np.uint8) for x in group]
+            sets = [next(shingles(d, np.asarray([0, len(d)]), width)) for d in data]
+            real = [(x, s.astype(np.int64)) for x, s in zip(group, sets, strict=True) if hashlib.md5(s.tobytes()).digest() == x[2]]
+            own, far = [x for x in real if x[0][1] != FAR], [x for x in real if x[0][1] != OWN]
+            if not own or not far:
+                continue
+            above: dict[bytes, bytes] = {}
+
+            def top(x: bytes, above: dict[bytes, bytes] = above) -> bytes:
+                while (y := above.get(x, x)) != x:
+                    x = y
+                return x
+
+            sizes, out = np.asarray([len(s) for _, s in far])[None, :], []
+            for i, j, shared in Counter([s for _, s in far]).counts([s for _, s in own]):
+                either = np.asarray([len(s) for _, s in own[i:j]])[:, None] + sizes - shared
+                for u, v in zip(*[z.tolist() for z in np.nonzero(100 * shared >= percent * either)], strict=True):
+                    (x, _), (y, _) = own[i + u], far[v]
+                    p, q = top(x[3]), top(y[3])
+                    if p != q:
+                        above[max(p, q)] = min(p, q)
+                        out.append((x[2], y[2]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], names=["a", "b"])
+
+    texts = _texts(docs, cells.select(F.col("a").alias("digest")), classes)
+    rows = cells.join(texts.withColumnRenamed("digest", "a"), "a").select("cell", "side", "a", "b", "text")
+    return store(rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a binary, b binary"), "dense")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K) -> DataFrame:
