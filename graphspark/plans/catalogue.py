@@ -1,30 +1,437 @@
-"""The registered queries and their DuckDB counterparts."""
+"""The registered queries over the star schema seen as a property graph, each with its DuckDB counterpart.
+
+Customers, suppliers, parts, nations and regions are nodes; line items are scored, evidenced interactions; orders are
+pathways that parts participate in; regions contain nations, which contain customers.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from graphspark.functions import evidence as E
+from graphspark.functions import identifiers as I
+from graphspark.operators import dedup, hierarchy, patterns, resolve, select
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        _QUERIES[f.__name__] = f
+        if sql:
+            _ORACLE[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _values(spark: SparkSession, names: str, rows: list[tuple]) -> DataFrame:
+    return spark.createDataFrame(rows, names)
+
+
+def _facts(spark: SparkSession, d: str) -> DataFrame:
+    """Line items as interactions: subject (customer), object (supplier), part, score, n, edge number, order."""
+    orders = _table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    items = _table(spark, d, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return items.select(
+        F.col("o_custkey").alias("subject"), F.col("l_suppkey").alias("object"), F.col("l_partkey").alias("part"), F.col("l_extendedprice").alias("score"), F.col("l_quantity").cast("bigint").alias("n"),
+        F.col("l_linenumber").alias("line"), F.col("l_orderkey").alias("pathway"), "l_returnflag",
+    )
+
+
+_F = "(SELECT o_custkey AS subject, l_suppkey AS object, l_partkey AS part, l_extendedprice AS score, CAST(l_quantity AS BIGINT) AS n, l_linenumber AS line, l_orderkey AS pathway, l_returnflag FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
+# Event types as relation types, and what they map to.
+_KINDS = {"click": "Activation", "view": "Complex", "purchase": "Phosphorylation", "signup": "Inhibition"}
+
+
+def _sql_map(column: str, values: dict[str, str], default: str = "NULL") -> str:
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in values.items()) + f" ELSE {default} END"
+
+
+@query(f"SELECT subject, object, CAST(sum(n) AS BIGINT) AS evidence FROM {_F} GROUP BY 1, 2")
+def interaction_totals(spark, d):
+    return _facts(spark, d).groupBy("subject", "object").agg(F.sum("n").alias("evidence"))
+
+
+@query("SELECT l_orderkey, l_linenumber, c_name AS source_value, s_name AS target_value FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey")
+def endpoint_resolution(spark, d):
+    nodes = _table(spark, d, "customer").select(F.concat(F.lit("c"), F.col("c_custkey")).alias("id"), F.col("c_name").alias("name")).union(_table(spark, d, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey")), "s_name"))
+    items = _table(spark, d, "lineitem").join(_table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    edges = items.select("l_orderkey", "l_linenumber", F.concat(F.lit("c"), F.col("o_custkey")).alias("a"), F.concat(F.lit("s"), F.col("l_suppkey")).alias("b"))
+    return resolve.endpoints(edges, nodes, "a", "b", "id", "name").drop("a", "b")
+
+
+@query("""WITH f AS (SELECT p_type, min(p_partkey) AS first FROM part GROUP BY 1)
+    SELECT p_partkey, coalesce(first, p_partkey) AS resolved FROM part LEFT JOIN f ON replace(part.p_type, 'ECONOMY', 'NONE') = f.p_type""")
+def first_name_fallback(spark, d):
+    parts = _table(spark, d, "part").select("p_partkey", "p_type")
+    first = resolve.first_by(parts, ["p_type"], ["p_partkey"]).select("p_type", "p_partkey")
+    named = parts.withColumn("name", F.replace("p_type", F.lit("ECONOMY"), F.lit("NONE"))).drop("p_type")
+    return resolve.lookup(named, first, "name", "p_partkey", F.col("p_partkey"), "resolved").select("p_partkey", "resolved")
+
+
+@query(f"SELECT event_id, {_sql_map('event_type', {'click': I.TYPE_CLASS['protein'], 'view': I.TYPE_CLASS['gene'], 'purchase': I.TYPE_CLASS['drug']})} AS class FROM events")
+def class_routing(spark, d):
+    kind = F.try_element_at(I.literal_map({"click": "Protein", "view": "GENE", "purchase": "drug"}), "event_type")
+    return _table(spark, d, "events").select("event_id", I.type_class(kind, F.lit("none:1")).alias("class"))
+
+
+@query("SELECT event_id, " + _sql_map("event_type", {k: E.TYPE_PREDICATE[v] for k, v in _KINDS.items()}, f"'{E.DEFAULT_PREDICATE}'") + " AS predicate, " + _sql_map("event_type", {"purchase": E.TYPE_PROCESS["Phosphorylation"]}) + " AS process, " + _sql_map("event_type", {"click": "activates", "view": "binds", "purchase": "phosphorylates", "signup": "inhibits"}, "'interacts with'") + " AS verb FROM events")
+def default_mapping(spark, d):
+    kind = F.coalesce(F.try_element_at(I.literal_map(_KINDS), "event_type"), F.lit("Gef"))
+    return _table(spark, d, "events").select("event_id", E.predicate_iri(kind).alias("predicate"), E.process_iri(kind).alias("process"), E.verb_label(kind).alias("verb"))
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS key_value, 'none' AS colour, event_type AS other FROM events")
+def attribute_normalize(spark, d):
+    from graphspark.sources.cx2 import normalize
+
+    declared = F.lit(None).cast("map<string,struct<d:string,a:string,v:string>>")
+    declared = F.coalesce(declared, F.from_json(F.lit('{"key_value":{"d":"long","a":"k"},"colour":{"v":"none"}}'), "map<string,struct<d:string,a:string,v:string>>"))
+    bag = F.map_concat(F.from_json("props", "map<string,string>"), F.create_map(F.lit("other"), F.col("event_type")))
+    v = normalize(bag, declared)
+    return _table(spark, d, "events").select("event_id", v["key_value"].alias("key_value"), v["colour"].alias("colour"), v["other"].alias("other"))
+
+
+@query("""SELECT c_custkey, 'http://x.org/c/' || c_custkey AS exact, 'http://x.org/c/' || c_custkey AS near, 'who:' || c_custkey AS unknown, 'cust:' || c_custkey AS compacted FROM customer""")
+def curie_expand_compact(spark, d):
+    p, key = I.literal_map({"cust": "http://x.org/c/", "nat": "http://x.org/n/"}), F.col("c_custkey").cast("string")
+    curie = lambda prefix: I.expand(F.concat(F.lit(f"{prefix}:"), key), p)
+    return _table(spark, d, "customer").select("c_custkey", curie("cust").alias("exact"), curie("CUST").alias("near"), curie("who").alias("unknown"), I.compact(F.concat(F.lit("http://x.org/c/"), key), p).alias("compacted"))
+
+
+@query("""SELECT p_partkey, regexp_replace(regexp_replace(p_name || ' ' || p_type, '[^A-Za-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug,
+    replace(replace(replace(p_name || ' {' || p_type, ' ', '%20'), '{', '%7B'), '|', '%7C') AS iri FROM part""")
+def slug_and_safe_iri(spark, d):
+    return _table(spark, d, "part").select("p_partkey", I.slugify(F.concat_ws(" ", "p_name", "p_type")).alias("slug"), I.safe_iri(F.concat("p_name", F.lit(" {"), "p_type")).alias("iri"))
+
+
+@query(f"""WITH m AS (SELECT r_name, string_agg(lower(trim(n_name)), '|' ORDER BY lower(trim(n_name))) AS s FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1)
+    SELECT r_name, '{I.BASE}family/' || regexp_replace(r_name, '[^A-Za-z0-9]+', '-', 'g') || '-' || printf('%08x',
+    list_reduce(list_prepend(2166136261::BIGINT, list_transform(string_split(s, ''), lambda x: ascii(x)::BIGINT)), lambda h, c: (xor(h, c) * 16777619) % 4294967296)) AS iri FROM m""")
+def family_identity(spark, d):
+    names = _table(spark, d, "nation").join(_table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return names.groupBy("r_name").agg(F.collect_list("n_name").alias("m")).select("r_name", I.family_iri(F.col("r_name"), F.col("m")).alias("iri"))
+
+
+@query("""SELECT page_id, CAST(i - 1 AS INTEGER) AS idx, regexp_extract(m[i], 'href="([^"]*)"', 1) AS href
+    FROM (SELECT page_id, m, unnest(range(1, len(m) + 1)) AS i FROM (SELECT page_id, regexp_extract_all(html, '<a [^>]*href="[^"]*"') AS m FROM pages))""")
+def html_items(spark, d):
+    found = F.regexp_extract_all("html", F.lit('<a [^>]*href="([^"]*)"'), F.lit(1))
+    return _table(spark, d, "pages").select("page_id", F.posexplode(found).alias("idx", "href"))
+
+
+@query("SELECT page_id, nullif(regexp_extract(url, '[?&]utm_source=([^&#]*)', 1), '') AS utm_source, nullif(regexp_extract(url, '[?&]id=([^&#]*)', 1), '') AS id FROM pages")
+def url_params(spark, d):
+    return _table(spark, d, "pages").select("page_id", E.url_parameter(F.col("url"), "utm_source").alias("utm_source"), E.url_parameter(F.col("url"), "id").alias("id"))
+
+
+@query("""SELECT o_orderkey, 'Customer' || o_custkey AS subject, 'Order' || o_orderkey AS object, 'Phosphorylation' AS kind, o_custkey AS n FROM orders""")
+def evidence_items(spark, d):
+    text = F.concat(F.lit("Customer"), "o_custkey", F.lit(" phosphorylates Order"), "o_orderkey")
+    url = F.concat(F.lit("https://x.org/a?subject=Customer"), "o_custkey", F.lit("&object=Order"), "o_orderkey", F.lit("&type=Phosphorylation"))
+    by_url, by_text = (F.concat(F.lit("<li/>"), text, F.lit('(<a href="'), u, F.lit('" target="_blank">'), "o_custkey", F.lit("</a>)")) for u in (url, F.lit("https://x.org/a")))
+    html = F.when(F.col("o_orderkey") % 2 == 0, by_url).otherwise(by_text)
+    return _table(spark, d, "orders").select("o_orderkey", F.explode(E.relations(html)).alias("r")).select("o_orderkey", "r.subject", "r.object", "r.kind", "r.n")
+
+
+@query("""SELECT 'nation' || n_nationkey AS s, 'in' AS p, 'region' || n_regionkey AS o FROM nation UNION SELECT 'cust' || c_custkey, 'in', 'nation' || c_nationkey FROM customer
+    UNION SELECT 'supp' || l_suppkey, 'sells', 'part' || l_partkey FROM lineitem""")
+def distinct_triples(spark, d):
+    name = lambda kind, c: F.concat(F.lit(kind), F.col(c))
+    a = _table(spark, d, "nation").select(name("nation", "n_nationkey").alias("s"), F.lit("in").alias("p"), name("region", "n_regionkey").alias("o"))
+    b = _table(spark, d, "customer").select(name("cust", "c_custkey"), F.lit("in"), name("nation", "c_nationkey"))
+    c = _table(spark, d, "lineitem").select(name("supp", "l_suppkey"), F.lit("sells"), name("part", "l_partkey"))
+    return a.union(b).union(c).distinct()
+
+
+@query("""SELECT c_nationkey, arg_min(c_mktsegment, c_custkey) AS segment, arg_min(c_name, c_custkey) FILTER (c_acctbal > 0) AS label,
+    string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment) AS aliases FROM customer GROUP BY 1""")
+def declaration_merge(spark, d):
+    c = _table(spark, d, "customer").withColumn("_label", F.when(F.col("c_acctbal") > 0, F.col("c_name")))
+    first = dedup.first_values(c, "c_nationkey", ["c_mktsegment", "_label"], ["c_custkey"]).withColumnsRenamed({"c_mktsegment": "segment", "_label": "label"})
+    aliases = c.groupBy("c_nationkey").agg(F.array_join(F.array_sort(F.collect_set("c_mktsegment")), ",").alias("aliases"))
+    return first.join(aliases, "c_nationkey")
+
+
+@query("SELECT min(l_orderkey * 10 + l_linenumber) AS first, l_suppkey, l_returnflag, l_linestatus FROM lineitem GROUP BY 2, 3, 4")
+def content_dedup(spark, d):
+    rows = _table(spark, d, "lineitem").withColumn("first", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    return dedup.content_first(rows, ["l_suppkey", "l_returnflag", "l_linestatus"], ["first"]).select("first", "l_suppkey", "l_returnflag", "l_linestatus")
+
+
+_N = f"(SELECT c_nationkey AS a, s_nationkey AS b, n, pathway * 10 + line AS ord FROM {_F} JOIN customer ON subject = c_custkey JOIN supplier ON object = s_suppkey)"
+
+
+def _nation_edges(spark, d):
+    c, s = _table(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("a")), _table(spark, d, "supplier").select("s_suppkey", F.col("s_nationkey").alias("b"))
+    f = _facts(spark, d)
+    return f.join(c, F.col("subject") == F.col("c_custkey")).join(s, F.col("object") == F.col("s_suppkey")).select("a", "b", "n", (F.col("pathway") * 10 + F.col("line")).alias("ord"))
+
+
+@query(f"SELECT least(a, b) AS low, greatest(a, b) AS high, a <= b AS forward, count(*) AS n, CAST(sum(n) AS BIGINT) AS evidence, min(ord) AS first FROM {_N} GROUP BY 1, 2, 3")
+def directed_collapse(spark, d):
+    return dedup.directed_collapse(_nation_edges(spark, d), "a", "b", "ord", "n")
+
+
+@query(f"SELECT least(a, b) AS low, greatest(a, b) AS high, count(*) AS n FROM {_N} GROUP BY 1, 2 HAVING count(*) > 50")
+def pair_limit(spark, d):
+    return dedup.pair_limit(_nation_edges(spark, d), "a", "b", 50)
+
+
+@query("""WITH r AS (SELECT l_orderkey, l_linenumber, l_extendedprice, row_number() OVER (PARTITION BY l_partkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS a,
+    row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS b FROM lineitem)
+    SELECT l_orderkey, l_linenumber, CASE WHEN l_extendedprice >= 80000 THEN 'core' ELSE 'backbone' END AS role FROM r WHERE l_extendedprice >= 80000 OR a = 1 OR b = 1""")
+def core_backbone(spark, d):
+    items = _table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return select.core_backbone(items, ["l_partkey", "l_suppkey"], "l_extendedprice", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 80000.0).select("l_orderkey", "l_linenumber", "role")
+
+
+@query("SELECT l_partkey, CAST(row_number() OVER (ORDER BY f, l_partkey) - 1 AS BIGINT) AS id FROM (SELECT l_partkey, min(l_orderkey * 10 + l_linenumber) AS f FROM lineitem GROUP BY 1)")
+def dense_ids(spark, d):
+    rows = _table(spark, d, "lineitem").select("l_partkey", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"))
+    return dedup.dense_ids(rows, "l_partkey", "ord")
+
+
+@query("SELECT DISTINCT l_partkey AS s, 'participates' AS p, l_orderkey AS o FROM lineitem")
+def membership_flip(spark, d):
+    return _table(spark, d, "lineitem").select(F.col("l_partkey").alias("s"), F.lit("participates").alias("p"), F.col("l_orderkey").alias("o")).distinct()
+
+
+@query("""WITH m AS (SELECT DISTINCT l_partkey AS member, l_orderkey AS grp FROM lineitem), p AS (SELECT p_partkey AS a, p_partkey + 1 AS b FROM part)
+    SELECT p.a, p.b, x.grp AS "group" FROM p JOIN m x ON x.member = p.a JOIN m y ON y.member = p.b AND y.grp = x.grp""")
+def shared_groups(spark, d):
+    members = _table(spark, d, "lineitem").select(F.col("l_partkey").alias("member"), F.col("l_orderkey").alias("group")).distinct()
+    pairs = _table(spark, d, "part").select(F.col("p_partkey").alias("a"), (F.col("p_partkey") + 1).alias("b"))
+    return patterns.shared_groups(pairs, members)
+
+
+def _contained(spark, d):
+    n, c = _table(spark, d, "nation"), _table(spark, d, "customer")
+    return n.select(F.concat(F.lit("r"), "n_regionkey").alias("parent"), F.concat(F.lit("n"), "n_nationkey").alias("child")).union(c.select(F.concat(F.lit("n"), "c_nationkey"), F.concat(F.lit("c"), "c_custkey")))
+
+
+_C = "(SELECT 'r' || n_regionkey AS parent, 'n' || n_nationkey AS child FROM nation UNION SELECT 'n' || c_nationkey, 'c' || c_custkey FROM customer)"
+
+
+@query(f"SELECT DISTINCT parent AS node FROM {_C} WHERE parent NOT IN (SELECT child FROM {_C})")
+def root_nodes(spark, d):
+    return hierarchy.roots(_contained(spark, d))
+
+
+@query(f"WITH RECURSIVE e AS (SELECT * FROM {_C}), t(ancestor, descendant) AS (SELECT parent, child FROM e UNION SELECT t.ancestor, e.child FROM t JOIN e ON t.descendant = e.parent) SELECT ancestor, descendant FROM t")
+def hierarchy_closure(spark, d):
+    return hierarchy.closure(_contained(spark, d))
+
+
+@query("""SELECT 'r' || n_regionkey AS ancestor, c_mktsegment AS member FROM nation JOIN customer ON c_nationkey = n_nationkey
+    UNION SELECT 'n' || c_nationkey, c_mktsegment FROM customer UNION SELECT 'c' || c_custkey, c_mktsegment FROM customer""")
+def descendant_union(spark, d):
+    members = _table(spark, d, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("node"), F.col("c_mktsegment").alias("member"))
+    return hierarchy.held_by_descendants(hierarchy.closure(_contained(spark, d)), members)
+
+
+@query(f"SELECT child AS s, 'part_of' AS p, parent AS o FROM {_C}")
+def containment_edges(spark, d):
+    return hierarchy.containment(_contained(spark, d))
+
+
+@query("SELECT c_nationkey AS system, c_custkey AS member FROM customer WHERE c_nationkey IN (SELECT c_nationkey FROM customer GROUP BY 1 HAVING count(*) < 60)")
+def payload_cutoff(spark, d):
+    c = _table(spark, d, "customer")
+    small = c.groupBy("c_nationkey").count().where("count < 60").select("c_nationkey")
+    return c.join(small, "c_nationkey").select(F.col("c_nationkey").alias("system"), F.col("c_custkey").alias("member"))
+
+
+@query("SELECT user_id, event_type AS cohort, round(sum(CASE WHEN value > 50 THEN 1 ELSE 0 END) / count(*), 6) AS frequency FROM events GROUP BY 1, 2 HAVING sum(CASE WHEN value > 50 THEN 1 ELSE 0 END) > 0")
+def cohort_associations(spark, d):
+    high = F.when(F.col("value") > 50, 1).otherwise(0)
+    return _table(spark, d, "events").groupBy("user_id", F.col("event_type").alias("cohort")).agg(F.sum(high).alias("_n"), F.round(F.sum(high) / F.count("*"), 6).alias("frequency")).where("_n > 0").drop("_n")
+
+
+@query("SELECT user_id, count(*) AS n FROM events GROUP BY 1 HAVING avg(value) < 45")
+def significance_associations(spark, d):
+    return _table(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("n"), F.avg("value").alias("_p")).where(F.col("_p").isNotNull() & (F.col("_p") < 45)).drop("_p")
+
+
+@query(f"SELECT subject AS a, object AS b FROM {_F} UNION SELECT object, subject FROM {_F}")
+def symmetric_partners(spark, d):
+    return patterns.symmetric(_facts(spark, d), "subject", "object")
+
+
+@query(f"SELECT subject AS entity FROM {_F} UNION SELECT object FROM {_F}")
+def participants_union(spark, d):
+    return patterns.participants(_facts(spark, d), "subject", "object")
+
+
+@query(f"SELECT pathway, line, subject, object, n FROM {_F} WHERE n > 40")
+def evidence_threshold(spark, d):
+    return _facts(spark, d).where("n > 40").select("pathway", "line", "subject", "object", "n")
+
+
+@query(f"SELECT DISTINCT c_name AS subject_label, s_name AS object_label, n FROM {_F} JOIN customer ON subject = c_custkey JOIN supplier ON object = s_suppkey WHERE l_returnflag = 'R'")
+def partner_labels(spark, d):
+    f = _facts(spark, d).where("l_returnflag = 'R'")
+    c, s = _table(spark, d, "customer").select("c_custkey", F.col("c_name").alias("subject_label")), _table(spark, d, "supplier").select("s_suppkey", F.col("s_name").alias("object_label"))
+    return f.join(c, F.col("subject") == F.col("c_custkey")).join(s, F.col("object") == F.col("s_suppkey")).select("subject_label", "object_label", "n").distinct()
+
+
+@query(f"SELECT subject, object FROM {_F} UNION SELECT subject, object + 100000 FROM {_F} WHERE object % 2 = 0")
+def alias_expanded_join(spark, d):
+    aliases = _table(spark, d, "supplier").where("s_suppkey % 2 = 0").select(F.col("s_suppkey").alias("name"), (F.col("s_suppkey") + 100000).alias("alias"))
+    return patterns.expanded_by_alias(_facts(spark, d).select("subject", "object"), aliases, "object")
+
+
+@query("""WITH a AS (SELECT p_brand AS k, min(p_partkey) AS v, count(*) AS n FROM part WHERE p_size < 5 GROUP BY 1), b AS (SELECT p_brand AS k, min(p_partkey) AS v, count(*) AS n FROM part WHERE p_size >= 20 GROUP BY 1)
+    SELECT p_partkey, coalesce(a.v, b.v) AS resolved, CASE WHEN a.v IS NOT NULL THEN 'small' || CASE WHEN a.n > 1 THEN '_ambiguous' ELSE '' END
+    WHEN b.v IS NOT NULL THEN 'large' || CASE WHEN b.n > 1 THEN '_ambiguous' ELSE '' END ELSE 'unresolved' END AS route FROM part LEFT JOIN a ON a.k = p_brand LEFT JOIN b ON b.k = p_brand""")
+def priority_resolution(spark, d):
+    parts = _table(spark, d, "part")
+    tiers = [("small", parts.where("p_size < 5").select("p_brand", "p_partkey")), ("large", parts.where("p_size >= 20").select("p_brand", "p_partkey"))]
+    return resolve.cascade(parts.select("p_partkey", "p_brand"), "p_brand", tiers).select("p_partkey", "resolved", "route")
+
+
+@query("""WITH f AS (SELECT p_partkey, p_brand, CASE WHEN p_size IS NULL THEN 'NO-ID' WHEN p_size < 10 THEN 'OK' WHEN p_size < 30 THEN 'NO-CID' ELSE 'UNRESOLVED' END AS flag FROM part)
+    SELECT p_partkey, flag, CASE flag WHEN 'UNRESOLVED' THEN 1 WHEN 'NO-ID' THEN 2 WHEN 'NO-CID' THEN 3 ELSE 4 END AS severity, count(*) OVER (PARTITION BY p_brand, flag) > 1 AS collides FROM f""")
+def clique_flags(spark, d):
+    flag = F.when(F.col("p_size").isNull(), "NO-ID").when(F.col("p_size") < 10, "OK").when(F.col("p_size") < 30, "NO-CID").otherwise("UNRESOLVED")
+    severity = F.array_position(F.array(*[F.lit(x) for x in ("UNRESOLVED", "NO-ID", "NO-CID", "OK")]), F.col("flag")).cast("int")
+    parts = _table(spark, d, "part").withColumn("flag", flag)
+    many = parts.groupBy("p_brand", "flag").agg((F.count("*") > 1).alias("collides"))
+    return parts.join(many, ["p_brand", "flag"]).select("p_partkey", "flag", severity.alias("severity"), "collides")
+
+
+@query("""SELECT coalesce(a.k, b.k) AS custkey, CASE WHEN a.k IS NULL THEN 'right' WHEN b.k IS NULL THEN 'left' ELSE 'both' END AS side
+    FROM (SELECT c_custkey AS k FROM customer WHERE c_custkey % 3 <> 0) a FULL JOIN (SELECT DISTINCT o_custkey AS k FROM orders) b ON a.k = b.k""")
+def coverage_check(spark, d):
+    left = _table(spark, d, "customer").where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("custkey"))
+    return resolve.coverage(left, _table(spark, d, "orders").select(F.col("o_custkey").alias("custkey")), "custkey")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def rejects_report(spark, d):
+    return resolve.rejects(_table(spark, d, "customer"), _table(spark, d, "orders"), "c_custkey", "o_custkey").select("c_custkey", "c_name")
+
+
+@query("SELECT event_type AS route, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM events), 4) AS share FROM events GROUP BY 1")
+def route_histogram(spark, d):
+    e = _table(spark, d, "events")
+    return e.groupBy(F.col("event_type").alias("route")).agg(F.count("*").alias("n")).crossJoin(F.broadcast(e.agg(F.count("*").alias("_all")))).select("route", "n", F.round(100.0 * F.col("n") / F.col("_all"), 4).alias("share"))
+
+
+@query("SELECT n_nationkey, CAST((row_number() OVER (ORDER BY n_name) - 1) // 10 AS BIGINT) AS batch FROM nation")
+def batch_numbers(spark, d):
+    at = F.row_number().over(W.orderBy("n_name")) - 1
+    return _table(spark, d, "nation").select("n_nationkey", F.floor(at / 10).cast("bigint").alias("batch"))
+
+
+@query("""WITH n AS (SELECT n_nationkey, row_number() OVER (ORDER BY n_nationkey) - 1 AS i, count(*) OVER () AS c FROM nation)
+    SELECT n_nationkey, round(100 * cos(2 * pi() * i / c), 6) AS ring_x, round(100 * sin(2 * pi() * i / c), 6) AS ring_y, CAST(i % CAST(floor(sqrt(c)) AS BIGINT) AS BIGINT) AS x, CAST(i // CAST(floor(sqrt(c)) AS BIGINT) AS BIGINT) AS y FROM n""")
+def ring_and_grid_layout(spark, d):
+    ring = select.ring_layout(_table(spark, d, "nation").select("n_nationkey"), "n_nationkey", 100.0).withColumnsRenamed({"x": "ring_x", "y": "ring_y"})
+    return select.grid_layout(ring, "n_nationkey")
+
+
+@query("""SELECT '<http://x.org/c/' || c_custkey || '> <http://www.w3.org/2000/01/rdf-schema#label> "' || c_name || '" .' AS value FROM customer
+    UNION ALL SELECT '<http://x.org/c/' || c_custkey || '> <http://x.org/nation> "' || c_nationkey || '"^^<http://www.w3.org/2001/XMLSchema#integer> .' FROM customer""")
+def ntriples_lines(spark, d):
+    from graphspark.plans.convert import ntriples
+
+    iri, rows = F.concat(F.lit("http://x.org/c/"), "c_custkey"), _table(spark, d, "customer")
+    label = rows.select(iri.alias("s"), F.lit(I.STANDARD_PREFIXES["rdfs"] + "label").alias("p"), F.col("c_name").alias("o"), F.lit("string").alias("kind"))
+    return ntriples(label.union(rows.select(iri, F.lit("http://x.org/nation"), F.col("c_nationkey").cast("string"), F.lit("integer"))))
+
+
+@query(f"SELECT count(*) AS facts, count(DISTINCT subject) AS subjects, count(DISTINCT object) FILTER (object % 2 = 0) AS even_objects, count(*) FILTER (l_returnflag NOT LIKE 'R%') AS kept FROM {_F}")
+def audit_counts(spark, d):
+    return _facts(spark, d).agg(F.count("*").alias("facts"), F.count_distinct("subject").alias("subjects"), F.count_distinct(F.when(F.col("object") % 2 == 0, F.col("object"))).alias("even_objects"), F.count_if(~F.col("l_returnflag").startswith("R")).alias("kept"))
+
+
+@query(f"SELECT subject, object FROM {_F} WHERE n IS NULL")
+def empty_type_test(spark, d):
+    return _facts(spark, d).where("n IS NULL").select("subject", "object")
+
+
+@query(f"SELECT object AS partner, subject, CAST(max(n) AS BIGINT) AS most, CAST(sum(n) AS BIGINT) AS total FROM {_F} WHERE l_returnflag = 'A' GROUP BY 1, 2")
+def pair_evidence(spark, d):
+    return _facts(spark, d).where("l_returnflag = 'A'").groupBy(F.col("object").alias("partner"), "subject").agg(F.max("n").alias("most"), F.sum("n").alias("total"))
+
+
+@query("SELECT event_id, event_type FROM events WHERE lower(event_type) IN ('click', 'view')")
+def type_set_filter(spark, d):
+    return _table(spark, d, "events").where(F.lower("event_type").isin("click", "view")).select("event_id", "event_type")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderstatus NOT IN ('P', 'F')")
+def flag_exclusion(spark, d):
+    return _table(spark, d, "orders").where(~F.col("o_orderstatus").isin("P", "F")).select("o_orderkey")
+
+
+@query("SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')")
+def resume_skip(spark, d):
+    done = _table(spark, d, "lineitem").where("l_returnflag = 'R'")
+    return resolve.rejects(_table(spark, d, "orders"), done, "o_orderkey", "l_orderkey").select("o_orderkey")
+
+
+@query("SELECT l_orderkey, string_agg(l_partkey || ':' || l_linenumber, ',' ORDER BY l_partkey, l_linenumber) AS members FROM lineitem GROUP BY 1")
+def exploded_members(spark, d):
+    pairs = F.array_sort(F.collect_list(F.struct("l_partkey", "l_linenumber")))
+    return _table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.transform(pairs, lambda x: F.concat(x["l_partkey"].cast("string"), F.lit(":"), x["l_linenumber"].cast("string"))), ",").alias("members"))
+
+
+@query("SELECT p_brand, count(DISTINCT p_type) AS types, count(*) AS n, min(p_size) AS least, max(p_size) AS most, (min(p_size) + max(p_size)) / 2.0 AS centre FROM part GROUP BY 1")
+def id_profile(spark, d):
+    return _table(spark, d, "part").groupBy("p_brand").agg(F.count_distinct("p_type").alias("types"), F.count("*").alias("n"), F.min("p_size").alias("least"), F.max("p_size").alias("most"), ((F.min("p_size") + F.max("p_size")) / 2.0).cast("double").alias("centre"))
+
+
+@query("SELECT p_partkey, CASE WHEN count(*) OVER (PARTITION BY p_type) > 1 THEN p_type || '_' || p_partkey ELSE p_type END AS name FROM part")
+def disambiguate_names(spark, d):
+    parts = _table(spark, d, "part").select("p_partkey", "p_type")
+    many = parts.groupBy("p_type").agg((F.count("*") > 1).alias("_m"))
+    return parts.join(many, "p_type").select("p_partkey", F.when(F.col("_m"), F.concat("p_type", F.lit("_"), "p_partkey")).otherwise(F.col("p_type")).alias("name"))
+
+
+@query("SELECT n_nationkey AS key, 'left' AS side FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_nationkey < 20) UNION ALL SELECT DISTINCT c_nationkey, 'right' FROM customer WHERE c_nationkey >= 20 AND c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey < 22)")
+def symbol_difference(spark, d):
+    n, c = _table(spark, d, "nation").select(F.col("n_nationkey").alias("key")), _table(spark, d, "customer").select(F.col("c_nationkey").alias("key"))
+    left = n.join(c.where("key < 20"), "key", "left_anti").withColumn("side", F.lit("left"))
+    return left.union(c.where("key >= 20").join(n.where("key < 22"), "key", "left_anti").distinct().withColumn("side", F.lit("right")))
+
+
+@query("SELECT v AS verb, CASE WHEN v = 'ras binds raf' THEN 'Complex' WHEN v = 'A Increases the amount of B' THEN 'IncreaseAmount' END AS kind FROM (VALUES ('ras binds raf'), ('A Increases the amount of B'), ('x touches y')) t(v)")
+def verb_text_parse(spark, d):
+    rows = _values(spark, "verb string", [("ras binds raf",), ("A Increases the amount of B",), ("x touches y",)])
+    return rows.select("verb", E.text_relation(F.col("verb"))["kind"].alias("kind"))
+
+
+@query(f"SELECT '{I.BASE}statement_7_0' AS statement, 'Apoptosis' AS pathway, '{I.BASE}entity/a-b' AS entity, true AS bare, 'a_b c' AS file, 'say \\\"x\\\"\\n' AS literal")
+def literal_ids(spark, d):
+    v = F.lit
+    return _values(spark, "x int", [(1,)]).select(
+        I.statement_iri(v(I.BASE), v(7), v(0)).alias("statement"), I.clean_pathway_name(v("Apoptosis _v2_0_")).alias("pathway"), I.entity_iri(v("a b")).alias("entity"), I.is_bare(v("ETS")).alias("bare"),
+        I.safe_file_name(v("..a/b  c")).alias("file"), I.escape_literal(v('say "x"\n')).alias("literal"),
+    )
+
 
-def _interaction_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", "l_suppkey", "l_quantity")
-    return (
-        items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy(F.col("o_custkey").alias("subject"), F.col("l_suppkey").alias("object"))
-        .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("evidence"))
-    )
+@query("""SELECT 'nodes' AS family, (SELECT count(*) FROM customer) + (SELECT count(*) FROM supplier) AS n UNION ALL SELECT 'edges', count(*) FROM lineitem UNION ALL SELECT 'pathways', count(*) FROM orders""")
+def volume_report(spark, d):
+    count = lambda t, name: _table(spark, d, t).agg(F.count("*").alias("n")).select(F.lit(name).alias("family"), "n")
+    return count("customer", "nodes").union(count("supplier", "nodes")).union(count("lineitem", "edges")).union(count("orders", "pathways")).groupBy("family").agg(F.sum("n").alias("n"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"interaction_totals": _interaction_totals}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "interaction_totals": """
-            SELECT o_custkey AS subject, l_suppkey AS object, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS evidence
-            FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2"""
-    }
+    return dict(_ORACLE)
