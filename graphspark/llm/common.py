@@ -9,6 +9,9 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows of an Arrow batch.
+BATCH_ROWS = 1000
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
@@ -23,9 +26,17 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Rows that a Python worker gets at once are kept few, as whole texts are long; a setting of the session stands."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, None) in (None, "10000"):
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def store(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, and lost executors lose nothing."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -41,4 +52,5 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(filter(None, [env.get("PYTHONPATH"), root]))
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -19,14 +19,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import read
+from .common import bound_batches, read
 
-#: Longest n-gram; labelled rows of a language that a model may learn from, and the bytes of the longest such row.
-ORDER, SAMPLE, SAMPLE_BYTES = 5, 400, 1 << 20
+#: Longest n-gram; labelled rows of a language that a model may learn from, the bytes of the longest such row, and of all.
+ORDER, SAMPLE, SAMPLE_BYTES, SAMPLE_TOTAL = 5, 400, 1 << 19, 1 << 19
 #: Rows of the sample that calibrate instead of train: one in so many. Standard deviations beyond which a text is rejected.
 CALIBRATE, BEYOND = 4, 6.0
 #: Characters that are scored at once, and for how many characters at most a text counts as evidence in its score.
-CHUNK, EVIDENCE = 1 << 19, 40
+CHUNK, EVIDENCE = 1 << 18, 40
 UNKNOWN = "und"
 
 
@@ -217,8 +217,9 @@ def _calibrate(model: Model, held: dict[str, list[str]]) -> tuple[np.ndarray, fl
     return np.asarray(limits), BEYOND * max(spreads)
 
 
-def sample_labelled(docs: DataFrame, most: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> dict[str, list[str]]:
-    """Up to ``most`` texts of each language, of ``most_bytes`` bytes at most: those of the least hash of doc_id.
+def sample_labelled(docs: DataFrame, most: int = SAMPLE, most_bytes: int = SAMPLE_BYTES, total: int = SAMPLE_TOTAL) -> dict[str, list[str]]:
+    """Up to ``most`` texts of each language, of ``most_bytes`` bytes at most: those of the least hash of doc_id,
+    as many as come to ``total`` bytes.
 
     A count by language gives the share of hashes that holds about twice as many; only these rows are ranked.
     """
@@ -229,9 +230,12 @@ def sample_labelled(docs: DataFrame, most: int = SAMPLE, most_bytes: int = SAMPL
     part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     share = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1 << 30, math.ceil((1 << 30) * 2 * most / n) + 1))]), F.col("lang"))
     few = labelled.where((part <= share) & (F.octet_length("text") <= most_bytes)).select("lang", "text", part.alias("_part"))
-    ranked = few.withColumn("_n", F.row_number().over(W.partitionBy("lang").orderBy("_part", "text"))).where(F.col("_n") <= most)
+    by_hash = W.partitionBy("lang").orderBy("_part", "text")
+    ranked = few.withColumn("_n", F.row_number().over(by_hash)).where(F.col("_n") <= most)
+    before = F.sum(F.octet_length("text")).over(by_hash.rowsBetween(W.unboundedPreceding, -1))
+    ranked = ranked.withColumn("_before", before).where(F.coalesce("_before", F.lit(0)) < total)
     out: dict[str, list[str]] = {}
-    for lang, text in sorted((r[0], r[1]) for r in ranked.select("lang", "text").collect()):  # ``most`` rows a language
+    for lang, text in sorted((r[0], r[1]) for r in ranked.select("lang", "text").collect()):  # ``most`` rows and a little over ``total`` bytes a language
         out.setdefault(lang, []).append(text)
     return {k: sorted(v, key=lambda t: zlib.crc32(t.encode())) for k, v in out.items()}
 
@@ -243,6 +247,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     score 0, a null entropy, and is rejected. Equal entropies go to the language first in order. The model is broadcast;
     its size is bounded by that of the sample. Rows are independent: repeated rows and other columns pass through.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("language string, score double, entropy double, rejected boolean")
