@@ -90,6 +90,11 @@ def _covered(hits: Column) -> Column:
     )
 
 
+def _once(value: Column, f) -> Column:
+    """``f`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
     """``docs`` without the hit words: each run of them goes from the text, with what stands between its words.
 
@@ -99,14 +104,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFram
     hits = find_hits(docs, benchmark, n).where(F.size("_hits") > 0).select(F.col("doc_id").alias("_id"), F.col("_digest").alias("_d"), "_hits", "n_words")
     keyed = docs.withColumn("_digest", text_digest(F.col("text")))
     joined = keyed.join(hits, keyed["doc_id"].eqNullSafe(hits["_id"]) & (keyed["_digest"] == hits["_d"]), "left")
-    own, gaps = F.regexp_extract_all("text", F.lit(CASED), F.lit(0)), F.split("text", CASED, -1)
-    positions = F.array_distinct(F.flatten(F.transform("_hits", lambda x: F.sequence(x["at"], x["at"] + x["size"] - 1))))
-    flags = F.transform(F.sequence(F.lit(1), F.col("n_words").cast("int")), lambda i: F.array_contains(positions, i))
-    kept = F.concat(
-        F.element_at(gaps, 1),
-        F.array_join(F.transform(own, lambda x, i: F.when(F.element_at(F.col("_flags"), i + 1), F.when(F.coalesce(F.get(F.col("_flags"), i + 1), F.lit(False)), F.lit("")).otherwise(F.element_at(gaps, i + 2))).otherwise(F.concat(x, F.element_at(gaps, i + 2)))), ""),
-    )
-    cleaned = joined.withColumn("_flags", F.when(F.col("_hits").isNotNull(), flags)).withColumn("_text", F.when(F.col("_hits").isNull(), F.col("text")).otherwise(kept))
+    # Each step's arrays are made once a row: a lambda's argument is a value, where a column would be worked out again for
+    # every element that refers to it.
+    positions = F.flatten(F.transform("_hits", lambda x: F.sequence(x["at"], x["at"] + x["size"] - 1)))
+    flags = _once(F.array_distinct(positions), lambda p: F.transform(F.sequence(F.lit(1), F.col("n_words").cast("int")), lambda i: F.array_contains(p, i)))
+    made = F.struct(F.regexp_extract_all("text", F.lit(CASED), F.lit(0)).alias("own"), F.split("text", CASED, -1).alias("gaps"), F.col("_flags").alias("flags"))
+
+    def rest(m: Column) -> Column:
+        def word(x: Column, i: Column) -> Column:
+            inside = F.coalesce(F.get(m["flags"], i + 1), F.lit(False))
+            after = F.get(m["gaps"], i + 1)
+            return F.when(F.get(m["flags"], i), F.when(inside, F.lit("")).otherwise(after)).otherwise(F.concat(x, after))
+
+        return F.concat(F.get(m["gaps"], F.lit(0)), F.array_join(F.transform(m["own"], word), ""))
+
+    cleaned = joined.withColumn("_flags", F.when(F.col("_hits").isNotNull(), flags)).withColumn("_text", F.when(F.col("_hits").isNull(), F.col("text")).otherwise(_once(made, rest)))
     left_over = F.col("_hits").isNull() | F.exists("_flags", lambda x: ~x)
     return cleaned.where(left_over).select(*[F.col("_text").alias("text") if c == "text" else keyed[c] for c in docs.columns])
 
