@@ -113,7 +113,8 @@ def dedup_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
         return pd.DataFrame([drop_repeats(t, s, lines) for t, s in zip(texts, starts, strict=True)], columns=["text", "n_lines", "n_removed", "n_runs"])
 
     keyed = docs.withColumn("_digest", text_digest(F.col("text")))
-    joined = keyed.join(late, keyed["doc_id"].eqNullSafe(late["_id"]) & (keyed["_digest"] == late["_d"]), "left")
+    # The starts grow with the texts: both are always dealt by key, at every size alike.
+    joined = keyed.join(late.hint("merge"), keyed["doc_id"].eqNullSafe(late["_id"]) & (keyed["_digest"] == late["_d"]), "left")
     out = joined.withColumn("_r", rebuilt(F.col("text").cast("string"), F.col("starts")))
     new = ("n_lines", "n_removed", "n_runs")
     kept = [F.col("_r.text").alias("text") if c == "text" else keyed[c] for c in docs.columns if c not in new]
