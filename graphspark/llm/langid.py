@@ -3,7 +3,8 @@
 One model for each language is fitted on a bounded sample of labelled rows. The n-grams of all languages are kept, by
 order, in one sorted hash array, beside it a row of log-probabilities with a column for each language in which the
 interpolation is already worked out; contexts have their back-off weights likewise. A text gets the language of lowest
-cross-entropy a character, and is rejected where that entropy lies beyond what a calibration part of the sample shows.
+cross-entropy a character, and is rejected where that entropy lies beyond what rows show that were not trained on: a
+calibration part of the sample, or, of a language with few rows, each row under a model of the others.
 """
 
 from __future__ import annotations
@@ -21,10 +22,13 @@ from pyspark.sql import Window as W
 
 from .common import bound_batches, read
 
-#: Longest n-gram; labelled rows of a language that a model may learn from, the bytes of the longest such row, and of all.
+#: Longest n-gram; labelled rows of a language that a model may learn from, the characters that are read of one, and the bytes of all.
 ORDER, SAMPLE, SAMPLE_BYTES, SAMPLE_TOTAL = 5, 400, 1 << 19, 1 << 19
 #: Rows of the sample that calibrate instead of train: one in so many. Standard deviations beyond which a text is rejected.
 CALIBRATE, BEYOND = 4, 6.0
+#: Rows up to which a language trains on all of them and calibrates on folds, how many folds, and the rows below which
+#: it rejects nothing.
+FEW, FOLDS, LEAST = 100, 8, 4
 #: Characters that are scored at once, and for how many characters at most a text counts as evidence in its score.
 CHUNK, EVIDENCE = 1 << 18, 40
 UNKNOWN = "und"
@@ -145,7 +149,24 @@ def train(samples: dict[str, list[str]]) -> Model:
     languages = sorted(x for x in kept if kept[x])
     if not languages:
         return Model([], [], [], [], [], np.zeros(0), np.zeros(0), 0.0)
-    fit = {x: [t for k, t in enumerate(kept[x]) if k % CALIBRATE or len(kept[x]) < 2 * CALIBRATE] for x in languages}
+    few = [x for x in languages if len(kept[x]) <= FEW]
+    model = _fit({x: [t for k, t in enumerate(kept[x]) if x in few or k % CALIBRATE] for x in languages})
+    held = {x: (texts := [t[:CHUNK] for k, t in enumerate(kept[x]) if k % CALIBRATE == 0], model.entropies(texts).min(1)) for x in languages if x not in few}
+    for x in few:
+        texts = [t[:CHUNK] for t in kept[x]]
+        if len(texts) >= LEAST:
+            e = np.zeros(len(texts))
+            for j in range(min(FOLDS, len(texts))):
+                own = [t for k, t in enumerate(kept[x]) if k % FOLDS != j]
+                e[j::FOLDS] = _fit({x: own}, len(model.grams[1]) + 1).entropies(texts[j::FOLDS])[:, 0]
+            held[x] = texts, e
+    model.limits, model.spread = _calibrate(languages, held)
+    return model
+
+
+def _fit(fit: dict[str, list[str]], alphabet: int | None = None) -> Model:
+    """The n-grams and probabilities of a model, without limits; ``alphabet``: its characters and one more, if other texts add any."""
+    languages = list(fit)
     codes, langs, first = [], [], []
     for k, x in enumerate(languages):
         c, s = _codes(fit[x])
@@ -176,7 +197,7 @@ def train(samples: dict[str, list[str]]) -> Model:
             seen = {n: (c > 0).astype(float)}
         else:
             seen[n] = (c > 0).astype(float)
-    alphabet = len(grams[1]) + 1
+    alphabet = alphabet or len(grams[1]) + 1
     lower = np.full((1, many), 1.0 / alphabet)
     for n in range(1, ORDER + 1):
         c = counts[n]
@@ -201,16 +222,21 @@ def train(samples: dict[str, list[str]]) -> Model:
         if n == 1:
             model.floor = (np.log(back[0]) + math.log(1.0 / alphabet)).astype(np.float32)
         lower = p
-    model.limits, model.spread = _calibrate(model, {x: [t for k, t in enumerate(kept[x]) if k % CALIBRATE == 0] for x in languages})
     return model
 
 
-def _calibrate(model: Model, held: dict[str, list[str]]) -> tuple[np.ndarray, float]:
-    """By language, the entropy beyond which a long text is rejected, and how much a short one may exceed it."""
-    limits, spreads = [], []
-    for x in model.languages:
-        texts = [t[:CHUNK] for t in held[x]]
-        e, size = model.entropies(texts).min(1), np.asarray([len(t) for t in texts], float)
+def _calibrate(languages: list[str], held: dict[str, tuple[list[str], np.ndarray]]) -> tuple[np.ndarray, float]:
+    """By language, the entropy beyond which a long text is rejected, and how much a short one may exceed it.
+
+    ``held`` has texts that were not trained on and their entropies; a language that it lacks rejects nothing.
+    """
+    limits, spreads = [], [0.0]
+    for x in languages:
+        if x not in held:
+            limits.append(np.inf)
+            continue
+        texts, e = held[x]
+        size = np.asarray([len(t) for t in texts], float)
         # The greatest entropy of the calibration rows, and a margin of their own scatter: labelled rows are to stay.
         limits.append(e.max() + BEYOND * 0.1 * e.std() + 0.2)
         spreads.append(float(np.median(np.abs(e - np.median(e)) * np.sqrt(size))))
@@ -218,10 +244,11 @@ def _calibrate(model: Model, held: dict[str, list[str]]) -> tuple[np.ndarray, fl
 
 
 def sample_labelled(docs: DataFrame, most: int = SAMPLE, most_bytes: int = SAMPLE_BYTES, total: int = SAMPLE_TOTAL) -> dict[str, list[str]]:
-    """Up to ``most`` texts of each language, of ``most_bytes`` bytes at most: those of the least hash of doc_id,
-    as many as come to ``total`` bytes.
+    """Up to ``most`` texts of each language: those of the least hash of doc_id, their fronts where they are long.
 
-    A count by language gives the share of hashes that holds about twice as many; only these rows are ranked.
+    If they come to more than ``total`` bytes, the longest are cut to one size at which they do not, so that no text
+    takes the place of others. A count by language gives the share of hashes that holds about twice as many; only these
+    rows are ranked.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 1))
     sizes = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}
@@ -229,13 +256,19 @@ def sample_labelled(docs: DataFrame, most: int = SAMPLE, most_bytes: int = SAMPL
         return {}
     part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     share = F.element_at(F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1 << 30, math.ceil((1 << 30) * 2 * most / n) + 1))]), F.col("lang"))
-    few = labelled.where((part <= share) & (F.octet_length("text") <= most_bytes)).select("lang", "text", part.alias("_part"))
+    few = labelled.where(part <= share).select("lang", F.substring("text", 1, most_bytes).alias("text"), part.alias("_part"))
     by_hash = W.partitionBy("lang").orderBy("_part", "text")
     ranked = few.withColumn("_n", F.row_number().over(by_hash)).where(F.col("_n") <= most)
-    before = F.sum(F.octet_length("text")).over(by_hash.rowsBetween(W.unboundedPreceding, -1))
-    ranked = ranked.withColumn("_before", before).where(F.coalesce("_before", F.lit(0)) < total)
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    by_size, every = W.partitionBy("lang").orderBy("_size", "_part", "text"), W.partitionBy("lang")
+    before = F.coalesce(F.sum("_size").over(by_size.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    # From the shortest on, each text may take an even part of what is left; the first that is longer sets the size.
+    even = (F.lit(total) - before) / (F.count("*").over(every) - F.row_number().over(by_size) + 1)
+    ranked = ranked.withColumn("_size", size).withColumn("_even", even).withColumn("_level", F.max(F.when(F.col("_size") > F.col("_even"), F.col("_even"))).over(every))
+    front = F.col("text").substr(F.lit(1), F.floor(F.col("_level") * F.length("text") / F.col("_size")).cast("int"))
+    ranked = ranked.withColumn("text", F.when(F.col("_size") > F.col("_level"), front).otherwise(F.col("text")))
     out: dict[str, list[str]] = {}
-    for lang, text in sorted((r[0], r[1]) for r in ranked.select("lang", "text").collect()):  # ``most`` rows and a little over ``total`` bytes a language
+    for lang, text in sorted((r[0], r[1]) for r in ranked.select("lang", "text").collect()):  # ``most`` rows and about ``total`` bytes a language
         out.setdefault(lang, []).append(text)
     return {k: sorted(v, key=lambda t: zlib.crc32(t.encode())) for k, v in out.items()}
 

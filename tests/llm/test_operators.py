@@ -162,6 +162,26 @@ def test_language(spark, empty):
     assert langid.identify(docs, langid.train(langid.sample_labelled(empty))).where("lang_pred = 'und' AND rejected").count() == len(rows)
 
 
+def test_language_with_few_rows():
+    rng = random.Random(11)
+    made = {x: ["".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(400)] for x, letters in {"aa": "abcdefgh", "bb": "ijklmnopq"}.items()}
+    texts = {x: [" ".join(rng.choice(w) for _ in range(60)) for _ in range(160)] for x, w in made.items()}
+    for n in (1, 4, 7, 12):
+        got = langid.train({"aa": texts["aa"][:120], "bb": texts["bb"][:n]}).score(texts["bb"][60:] + ["\u4e00\u4e8c\u4e09 " * 50])
+        assert (got.language[:-1] == "bb").all() and got.rejected[:-1].sum() <= 5
+        assert n < langid.LEAST or got.rejected[len(got) - 1]
+
+
+def test_language_sample_of_long_rows(spark):
+    rows = [(k, f"{k} " + "é" * (50_000 if k % 2 else 100), "fr") for k in range(40)] + [(100 + k, "long " * 1000 + str(k), "en") for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.sample_labelled(docs, most_bytes=20_000, total=20_000)
+    folded = {r[0] for r in docs.where(langid.fold(F.col("doc_id")) != 1).select("doc_id").collect()}
+    assert sorted(int(t.split()[0]) for t in got["fr"]) == sorted(k for k in folded if k < 100)
+    assert len(got["en"]) == len([k for k in folded if k >= 100]) and all(sum(len(t.encode()) for t in x) <= 20_000 for x in got.values())
+    assert all(t.count("é") == 100 for t in got["fr"] if int(t.split()[0]) % 2 == 0)
+
+
 def test_pii(spark, empty):
     docs = spark.createDataFrame([(1, "mail a.b@c.de, ip 10.0.0.1 or 300.1.1.1", "x"), (2, None, "x"), (3, "card 4111 1111 1111 1111 call +1 (555) 010-9999", "x"), (None, "x@y.zz", "x")], "doc_id long, text string, base string")
     got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.base] for r in pii.find_pii(docs).collect()}
