@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from graphspark.llm.common import read, store
 from graphspark.llm.decontam import decontaminate
 from graphspark.llm.langid import identify, sample_labelled, train
-from graphspark.llm.lines import dedup_lines
+from graphspark.llm.lines import WORDS, dedup_lines
 from graphspark.llm.minhash import keep_one
 from graphspark.llm.packing import pack_documents
 
@@ -20,8 +20,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without runs of lines that occur earlier; one of which no line is left goes."""
-    return dedup_lines(docs).where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines"))).select(*docs.columns)
+    """Documents without runs of three lines, or of fewer with 50 words, that occur earlier; one of which no line is left goes."""
+    return dedup_lines(docs, words=WORDS).where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines"))).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@
 Of each window of ``LINES`` line hashes the least is a fingerprint, so a run of that many lines that occurs twice has a
 fingerprint in common. Fingerprints that occur once end there. The others' positions are joined with what stands around
 them: a match is extended both ways to whole windows, whose first occurrence is an aggregate with map-side combine, so
-no list of positions is ever gathered; windows that overlap join into runs, and the later runs go.
+no list of positions is ever gathered; windows that overlap join into runs, and the later runs go. Where long passages
+count as well, a window of fewer lines that has enough words is its own fingerprint.
 """
 
 from __future__ import annotations
@@ -16,11 +17,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .arrays import window_minima
+from .arrays import mix, window_minima
 from .common import read, store, text_digest
 
 #: Lines of the shortest run that counts as repeated.
 LINES = 3
+#: Words from which fewer lines are a run as well, where this is asked for.
+WORDS = 50
 #: What may stand around a line without making it another.
 MARGIN = " \t\r"
 
@@ -34,11 +37,18 @@ def line_hashes(text: str) -> tuple[np.ndarray, list[int]]:
     return np.asarray([xxhash.xxh3_64_intdigest(lines[k].encode("utf-8", "surrogatepass")) for k in where], np.uint64), where
 
 
-def fingerprints(docs: DataFrame, lines: int = LINES) -> DataFrame:
+def long_windows(text: str, where: list[int], lines: int, words: int) -> list[tuple[int, int]]:
+    """First line (of those not blank, from 0) and lines of each window of fewer than ``lines`` lines with ``words`` words."""
+    every = text.split("\n")
+    sums = np.concatenate([[0], np.cumsum([len(every[k].split()) for k in where])])
+    return [(k, n) for n in range(1, lines) for k in np.flatnonzero(sums[n:] - sums[: max(0, len(sums) - n)] >= words).tolist()]
+
+
+def fingerprints(docs: DataFrame, lines: int = LINES, words: int | None = None) -> DataFrame:
     """One row for each fingerprint of each row of ``docs``: doc_id, digest, gram, first, around.
 
     ``first`` is the first line (of those not blank, from 0) of the first window that chose it, ``around`` has the
-    hashes of all lines of the windows that did.
+    hashes of all lines of the windows that did. With ``words``, each shorter window of so many words is one as well.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -49,12 +59,17 @@ def fingerprints(docs: DataFrame, lines: int = LINES) -> DataFrame:
         for batch in batches:
             owner, grams, firsts, around = [], [], [], []
             for k, text in enumerate(batch.column(2).to_pylist()):
-                h, _ = line_hashes(text) if text else (np.zeros(0, np.uint64), [])
+                h, where = line_hashes(text) if text else (np.zeros(0, np.uint64), [])
+                signed = h.astype(np.int64)
+                for i, n in long_windows(text, where, lines, words) if words and where else []:
+                    owner.append(k)
+                    grams.append(mix(h[i : i + n] + np.uint64(n)).sum().astype(np.int64))
+                    firsts.append(i)
+                    around.append(signed[i : i + n])
                 if len(h) < lines:
                     continue
                 place = window_minima(h, lines)
                 turn = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]]))
-                signed = h.astype(np.int64)
                 for i, j in zip(turn[:-1].tolist(), turn[1:].tolist(), strict=True):
                     owner.append(k)
                     grams.append(signed[place[i]])
@@ -68,21 +83,22 @@ def fingerprints(docs: DataFrame, lines: int = LINES) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, digest binary, gram long, first int, around array<long>")
 
 
-def repeated_windows(docs: DataFrame, lines: int = LINES) -> DataFrame:
-    """doc_id, digest and starts: the first lines of those windows of each row that also begin earlier."""
-    found = store(fingerprints(docs, lines), "fingerprints")
+def repeated_windows(docs: DataFrame, lines: int = LINES, words: int | None = None) -> DataFrame:
+    """doc_id, digest, starts and sizes: first lines and lines of those windows of each row that also begin earlier."""
+    found = store(fingerprints(docs, lines, words), "fingerprints")
     again = found.groupBy("gram").agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select("gram")
-    steps = F.sequence(F.lit(0), F.size("around") - lines)
+    steps = F.sequence(F.lit(0), F.greatest(F.size("around") - lines, F.lit(0)))
     extended = F.transform(steps, lambda j: F.struct((F.col("first") + j).alias("start"), F.slice("around", j + 1, lines).alias("window")))
     windows = store(found.join(again, "gram").select("doc_id", "digest", F.explode(extended).alias("_w")).select("doc_id", "digest", "_w.*"), "windows")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "start")
     first = windows.groupBy("window").agg(F.min(place).alias("_first"), F.count("*").alias("_n")).where(F.col("_n") > 1).select("window", "_first")
     late = windows.join(first, "window").where(place > F.col("_first"))
-    return late.groupBy("doc_id", "digest").agg(F.sort_array(F.collect_set("start")).alias("starts"))
+    spans = late.groupBy("doc_id", "digest").agg(F.sort_array(F.collect_set(F.struct("start", F.size("window").alias("size")))).alias("_s"))
+    return spans.select("doc_id", "digest", F.col("_s.start").alias("starts"), F.col("_s.size").alias("sizes"))
 
 
-def drop_repeats(text: str | None, starts: list[int] | None, lines: int = LINES) -> tuple[str | None, int, int, int]:
-    """The text without the lines of the windows at ``starts``; its lines that are not blank, those that go, their runs."""
+def drop_repeats(text: str | None, starts: list[int] | None, sizes: list[int] | None) -> tuple[str | None, int, int, int]:
+    """The text without the lines of the windows at ``starts`` of ``sizes`` lines; its lines that are not blank, those that go, their runs."""
     if text is None:
         return None, 0, 0, 0
     every = text.split("\n")
@@ -90,32 +106,32 @@ def drop_repeats(text: str | None, starts: list[int] | None, lines: int = LINES)
     if starts is None or not len(starts):
         return text, len(where), 0, 0
     gone = np.zeros(len(where), bool)
-    for s in starts:
-        gone[s : s + lines] = True
+    for s, n in zip(starts, sizes, strict=True):
+        gone[s : s + n] = True
     out = {where[k] for k in np.flatnonzero(gone).tolist()}
     runs = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + gone[0])
     return "\n".join([x for k, x in enumerate(every) if k not in out]), len(where), len(out), runs
 
 
-def dedup_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
+def dedup_lines(docs: DataFrame, lines: int = LINES, words: int | None = None) -> DataFrame:
     """``docs`` with repeated runs of lines removed from text, and n_lines, n_removed and n_runs, replacing such columns.
 
-    A line goes if it is in a run of ``lines`` lines that also begins earlier: in a row of smaller doc_id (a null one
+    A line goes if it is in a run of ``lines`` lines, or with ``words`` of fewer that have so many words, that also begins earlier: in a row of smaller doc_id (a null one
     is the greatest) or at an earlier line of the same row. Lines are compared without white space at their ends; blank
     lines neither count nor go. Runs are judged on the input and overlapping ones count. A null text stays null and has no
     lines; rows that agree in doc_id and text are one row and are treated alike. Other columns stay; an empty table
     gives an empty one.
     """
-    late = store(repeated_windows(docs, lines), "late").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_d"), "starts")
+    late = store(repeated_windows(docs, lines, words), "late").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_d"), "starts", "sizes")
 
     @F.pandas_udf("text string, n_lines long, n_removed long, n_runs long")
-    def rebuilt(texts: pd.Series, starts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([drop_repeats(t, s, lines) for t, s in zip(texts, starts, strict=True)], columns=["text", "n_lines", "n_removed", "n_runs"])
+    def rebuilt(texts: pd.Series, starts: pd.Series, sizes: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([drop_repeats(*x) for x in zip(texts, starts, sizes, strict=True)], columns=["text", "n_lines", "n_removed", "n_runs"])
 
     keyed = docs.withColumn("_digest", text_digest(F.col("text")))
     # The starts grow with the texts: both are always dealt by key, at every size alike.
     joined = keyed.join(late.hint("merge"), keyed["doc_id"].eqNullSafe(late["_id"]) & (keyed["_digest"] == late["_d"]), "left")
-    out = joined.withColumn("_r", rebuilt(F.col("text").cast("string"), F.col("starts")))
+    out = joined.withColumn("_r", rebuilt(F.col("text").cast("string"), F.col("starts"), F.col("sizes")))
     new = ("n_lines", "n_removed", "n_runs")
     kept = [F.col("_r.text").alias("text") if c == "text" else keyed[c] for c in docs.columns if c not in new]
     return out.select(*kept, *[F.col(f"_r.{c}").alias(c) for c in new])

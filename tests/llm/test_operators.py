@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from graphspark.llm import decontam, langid, lines, minhash, packing, pii, suffix, tokens, topk, warc
 
 UP = {c: c + 32 for c in range(65, 91)}
@@ -123,6 +124,28 @@ def test_line_dedup(corpus, empty):
     assert lines.dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_of_long_lines(spark):
+    rng = random.Random(9)
+    say = lambda n: " ".join(f"w{rng.randint(0, 999)}" for _ in range(n))
+    one, two, short = say(60), [say(30), say(25)], say(20)
+    rows = [(1, one), (2, f"{say(5)}\n {one}\t"), (3, "\n".join([say(8), *two])), (4, "\n\n".join([*two, say(9)])), (5, one), (6, short), (7, short), (8, "\n".join([short, say(10), say(10)])), (9, None), (None, one), (10, "\n".join([say(50), one, one]))]
+    seen, want = set(), {}
+    for d, t in sorted(rows, key=lambda x: (x[0] is None, x[0] or 0)):
+        kept, gone = [x.strip(lines.MARGIN) for x in (t or "").split("\n") if x.strip(lines.MARGIN)], set()
+        for k in range(len(kept)):
+            for n in (1, 2, 3):
+                w = tuple(kept[k : k + n])
+                if len(w) == n and (n == 3 or len(" ".join(w).split()) >= 50):
+                    gone |= set(range(k, k + n)) if w in seen else set()
+                    seen.add(w)
+        want[d] = (len(kept), len(gone))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_lines, r.n_removed) for r in lines.dedup_lines(docs, words=50).collect()}
+    assert got == want and want[2] == (2, 1) and want[4] == (3, 2) and want[5] == want[None] == (1, 1) and want[10] == (3, 2)
+    assert {r.doc_id for r in corpus_pipeline.lines(spark, docs, "").collect()} == {1, 2, 3, 4, 6, 7, 8, 9, 10}
+    assert lines.dedup_lines(docs).where("n_removed > 0").count() == 0
+
+
 def test_decontamination(spark, corpus, empty):
     long = " ".join(f"t{k}" for k in range(14))
     bench = spark.createDataFrame([(1, long), (2, "Short Item"), (3, None), (4, "..."), (None, "ab ab")], "item_id long, text string")
