@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrays import runs, shingles, text_buffer
-from .common import read, store
+from .common import read, store, text_digest
 from .graphs import components
 
 #: Values of a sketch; the chance that a pair at the threshold has too few of them in common.
@@ -46,8 +46,9 @@ def needed(threshold: float, k: int = K, miss: float = MISS) -> int:
     return max(1, n)
 
 
-def sketches(docs: DataFrame, width: int, k: int = K) -> DataFrame:
-    """doc_id, n_shingles, digest (null for an empty set) and sketch of each row of ``docs`` (doc_id, text)."""
+def sketches(docs: DataFrame, width: int, k: int = K, whole: bool = False) -> DataFrame:
+    """doc_id, n_shingles, digest (null for an empty set) and sketch of each row of ``docs`` (doc_id, text), and with
+    ``whole`` its text_digest."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator) -> Iterator:
@@ -63,10 +64,10 @@ def sketches(docs: DataFrame, width: int, k: int = K) -> DataFrame:
                     pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
                     pa.array([s[:k].astype(np.int64) for s in sets], pa.list_(pa.int64())),
                 ]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *columns], names=["doc_id", "n_shingles", "digest", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *columns, *[x.slice(a, b - a) for x in batch.columns[2:]]], names=["doc_id", "n_shingles", "digest", "sketch", "text_digest"][: 2 + batch.num_columns])
 
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, digest binary, sketch array<long>")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), *[text_digest(F.col("text")).alias("text_digest")] * whole)
+    return rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, digest binary, sketch array<long>" + ", text_digest binary" * whole)
 
 
 def _alike(percent: int, k: int) -> Column:
@@ -331,6 +332,16 @@ def _dense(docs: DataFrame, cells: DataFrame, classes: DataFrame, width: int, pe
     return store(rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, "a binary, b binary"), "dense")
 
 
+def _rooted(docs: DataFrame, width: int, percent: int, k: int, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The ``sketches``, and by digest the root of its component and the least doc_id there."""
+    rows = store(sketches(docs, width, k, whole), "sketches")
+    classes = store(rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.min("sketch").alias("sketch")), "classes")
+    roots = components(links(docs, classes, width, percent, k)).withColumnsRenamed({"node": "digest"})
+    rooted = classes.select("digest", "doc_id").join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rows, store(rooted.join(least, "root").select("digest", "root", "component_id"), "components")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of ``docs`` (doc_id, text).
 
@@ -340,12 +351,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     where doc_id is component_id; rows that repeat a doc_id within a component are kept alike. A null doc_id is never the
     least unless all are null. Other columns are left out; an empty table gives an empty one.
     """
-    rows = store(sketches(docs, width, k), "sketches")
-    classes = store(rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), F.min("sketch").alias("sketch")), "classes")
-    roots = components(links(docs, classes, width, percent, k)).withColumnsRenamed({"node": "digest"})
-    rooted = classes.select("digest", "doc_id").join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of = store(rooted.join(least, "root").select("digest", "component_id"), "components")
+    rows, of = _rooted(docs, width, percent, k)
     out = rows.select("doc_id", "n_shingles", "digest").join(of, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
@@ -354,13 +360,26 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, that of the least doc_id; see ``near_duplicates``.
 
-    All columns stay. Rows without words stay. A row that repeats the doc_id of a kept one goes, whatever its text is.
+    All columns stay. A row counts by doc_id and text: of rows that share the least doc_id the one of the least digest of
+    its text stays, of rows that agree in both any one. Rows without words, and rows that are linked with nothing, stay
+    whatever other rows have their doc_id.
     """
-    found = store(near_duplicates(docs, width, percent), "near")
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
-    left = docs.join(_bounded(store(gone, "gone")), docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
-    twice = found.where("kept").groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").limit(1).count()
-    return left.dropDuplicates(["doc_id"]) if twice else left
+    rows, of = _rooted(docs, width, percent, K, True)
+    each = store(rows.select("doc_id", "digest", "text_digest").join(of, "digest").groupBy("root", "doc_id", "text_digest").agg(F.count("*").alias("_n")), "near")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_digest")
+    first = each.groupBy("root").agg(F.min(place).alias("_first"), F.sum("_n").alias("_all")).where("_all > 1").select("root", "_first")
+    grouped = store(each.join(first, "root").select(F.col("doc_id").alias("_id"), F.col("text_digest").alias("_d"), place.eqNullSafe(F.col("_first")).alias("_kept"), "_n"), "grouped")
+    keyed = docs.withColumn("_digest", text_digest(F.col("text")))
+
+    def pick(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        return rows.join(keys, rows["doc_id"].eqNullSafe(keys["_id"]) & (rows["_digest"] == keys["_d"]), how)
+
+    left = pick(keyed, _bounded(grouped.where("NOT _kept").select("_id", "_d")), "left_anti")
+    twice = grouped.where("_kept AND _n > 1").select("_id", "_d")
+    if not twice.isEmpty():
+        twice = _bounded(twice)
+        left = pick(left, twice, "left_anti").unionByName(pick(left, twice, "left_semi").dropDuplicates(["doc_id", "_digest"]))
+    return left.select(*docs.columns)
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,6 +73,18 @@ def test_near_duplicates(spark, corpus, empty, monkeypatch, dense):
         assert kept.columns == corpus[0].columns and kept.where("doc_id = 100").count() == 0 and kept.where("doc_id IN (102, 103, 104)").count() == 3
 
 
+def test_keep_one_of_shared_ids(spark):
+    rng = random.Random(4)
+    say = lambda: " ".join(f"w{rng.randint(0, 9999)}" for _ in range(40))
+    a, b, c, d, e, f, g = (say() for _ in range(7))
+    # Copies with a null and a shared id beside clean texts of these ids, a repeated row, and repeated rows without words.
+    rows = [(1, a), (None, a + " end"), (None, b), (None, c), (2, d), (3, d), (3, e), (4, f), (4, f), (4, g), (5, None), (5, None), (None, ""), (None, "")]
+    got = minhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert Counter(map(tuple, got.collect())) == Counter([(1, a), (None, b), (None, c), (2, d), (3, e), (4, f), (4, g), (5, None), (5, None), (None, ""), (None, "")])
+    same = minhash.keep_one(spark.createDataFrame([(7, a), (7, a + " end"), (None, b), (None, b)], "doc_id long, text string")).collect()
+    assert sorted(r.doc_id or 0 for r in same) == [0, 7]
+
+
 def plain_repeats(rows, length):
     seen, out = set(), []
     for k in sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0)):
