@@ -2,7 +2,7 @@
 
 The distinct windows of the benchmark are broadcast as a hash set, in blocks of a fixed size; each training text is
 tokenised once and its window hashes exploded and probed; a hit is verified word by word. What comes back is one row a
-document and one a hit, so a single narrow shuffle gathers the result.
+document and one a hit, so a single narrow shuffle gathers the result; rows that agree are counted there.
 """
 
 from __future__ import annotations
@@ -49,9 +49,9 @@ def _window_hashes(w: Column, size: int) -> Column:
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N, block: int = BLOCK) -> DataFrame:
-    """One row for each document: doc_id, _digest, n_words, _hits (array of first word from 1, and words), items.
+    """One row for each document: doc_id, _digest, n_words, n_rows, _hits (array of first word from 1, and words), items.
 
-    A row of ``docs`` counts by doc_id and text: rows that agree in both are one. A null text has no words; a null
+    A row of ``docs`` counts by doc_id and text: rows that agree in both are one here, and ``n_rows`` is how many they are. A null text has no words; a null
     item_id or an item without words hits nothing; an empty benchmark hits nothing.
     """
     windows = benchmark_windows(benchmark, n).persist()
@@ -75,6 +75,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N, block: int = BL
         found = hit if found is None else found.unionByName(hit)
     return found.groupBy("doc_id", "_digest").agg(
         F.max("_n").cast("long").alias("n_words"),
+        F.count("_n").cast("int").alias("n_rows"),
         F.array_sort(F.collect_set("_hit")).alias("_hits"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("_items")))).alias("items"),
     )
@@ -123,13 +124,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFram
     return cleaned.where(left_over).select(*[F.col("_text").alias("text") if c == "text" else keyed[c] for c in docs.columns])
 
 
-def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_hits(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+def report(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
+    """One row for each row of ``docs``, repeated ones included: how many of its words are hit, and by which items."""
+    found = find_hits(docs, benchmark, n)
     n_hit = _covered(F.col("_hits"))
-    return found.select(
+    each = found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), "n_rows",
     )
+    return each.withColumn("n_rows", F.explode(F.array_repeat(F.lit(1), F.col("n_rows")))).drop("n_rows")
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
 QUERIES = {"op4_decontamination": op4_decontamination}

@@ -167,6 +167,16 @@ def test_decontamination(spark, corpus, empty):
     assert decontam.find_hits(empty, bench).count() == 0 and decontam.decontaminate(docs, bench.limit(0)).count() == 7
 
 
+def test_decontamination_keeps_repeated_rows(spark, monkeypatch):
+    bench = spark.createDataFrame([(k, f"short item {k}") for k in range(9)], "item_id long, text string")
+    rows = [(1, "a short item 1 here"), (1, "a short item 1 here"), (1, "other text"), (2, None), (2, None), (None, "Short item 2, short item 3"), (None, "Short item 2, short item 3"), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = Counter([(1, 5, 3)] * 2 + [(1, 2, 0)] + [(2, 0, 0)] * 2 + [(None, 6, 6)] * 2 + [(3, 0, 0)])
+    assert decontam.find_hits(docs, bench, block=2).agg(F.sum("n_rows")).first()[0] == len(rows)
+    monkeypatch.setattr(decontam, "read", lambda spark, sf_dir, table: {"documents": docs, "benchmark": bench}[table])
+    assert Counter((r.doc_id, r.n_words, r.n_hit) for r in decontam.op4_decontamination(spark, "").collect()) == want
+
+
 def test_token_counts_and_packing(corpus, empty):
     tok = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
