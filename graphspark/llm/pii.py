@@ -25,15 +25,18 @@ BASE = {
 }
 #: A candidate: a run of visible characters with a digit or an at sign in it.
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: A candidate as well: groups of digits with single spaces between them.
+SPACED = r"(?<!\S)[(+]{0,2}+[0-9][0-9().-]*+(?:\x20[(]?+[0-9][0-9().-]*+)+[,;:!?]{0,3}(?!\S)"
+CANDIDATES = {"token": TOKEN, "spaced": SPACED}
 #: What a candidate must look like to be of a kind.
 SHAPES = {
-    "email": r"^[^@]{1,40}@[^@]{1,60}$",
+    "email": r"^[^@]+@[^@]+$",
     "ip": r"^[^0-9]{0,2}[0-9]{1,3}([.:][0-9]{1,3}){3}([:/][0-9]{1,5})?[^0-9]{0,3}$",
-    "card": r"^[^0-9]{0,2}[0-9]{12,19}[^0-9]{0,3}$",
-    "phone": r"^[^0-9]{0,2}[0-9][0-9().-]{5,18}[0-9][^0-9]{0,3}$",
+    "card": r"^[^0-9]{0,2}[0-9](?:[\x20-]?[0-9]){11,18}[^0-9]{0,3}$",
+    "phone": r"^[^0-9]{0,2}[0-9][0-9()\x20.-]{5,18}[0-9][^0-9]{0,3}$",
 }
 #: Rounds of scoring; distinct known tokens that a pattern needs; scores from which patterns and tokens count; the
-#: longest candidate and neighbour, in characters.
+#: longest neighbour, in characters.
 ROUNDS, SUPPORT, GOOD_PATTERN, GOOD_TOKEN, LONGEST = 3, 4, 0.8, 0.9, 64
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 
@@ -78,11 +81,11 @@ def mentions(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.when(text.rlike("[0-9@]"), text).otherwise("").alias("_t"))
-    for kind, pattern in (BASE | {"token": TOKEN}).items():
+    for kind, pattern in (BASE | CANDIDATES).items():
         rows = rows.withColumns({f"_gaps_{kind}": F.split("_t", pattern, -1), f"_found_{kind}": F.regexp_extract_all("_t", F.lit(pattern), F.lit(0))})
     fields = "kind string, nth int, gap int, size int, token string, left string, right string"
     everything = F.array(F.lit(None).cast(f"struct<{fields}>"))
-    for kind in (*BASE, "token"):
+    for kind in (*BASE, *CANDIDATES):
         everything = F.concat(everything, _items(kind))
     return store(rows.select("row", "doc_id", everything.alias("_m")).select("row", "doc_id", F.explode_outer("_m").alias("_m")).select("row", "doc_id", "_m.*"), "mentions")
 
@@ -109,15 +112,15 @@ def _placed(found: DataFrame) -> DataFrame:
 
 
 def _candidates(placed: DataFrame) -> DataFrame:
-    """Candidates of fitting length that overlap no base span: row, doc_id, start, end, token, left, right."""
+    """Candidates that overlap no base span: row, doc_id, start, end, token, left, right."""
     by_start = W.partitionBy("row").orderBy("start", "end")
-    base = F.col("ok")
+    base, candidate = F.col("ok"), F.col("kind").isin(*CANDIDATES)
     before = F.max(F.when(base, F.col("end"))).over(by_start.rowsBetween(W.unboundedPreceding, -1))
     after = F.min(F.when(base, F.col("start"))).over(by_start.rowsBetween(1, W.unboundedFollowing))
     return (
-        placed.where(base | ((F.col("kind") == "token") & F.col("size").between(5, LONGEST)))
+        placed.where(base | (candidate & (F.col("size") >= 5)))
         .withColumns({"_before": before, "_after": after})
-        .where((F.col("kind") == "token") & (F.coalesce(F.col("_before"), F.lit(0)) <= F.col("start")) & F.coalesce(F.col("_after") >= F.col("end"), F.lit(True)))
+        .where(candidate & (F.coalesce(F.col("_before"), F.lit(0)) <= F.col("start")) & F.coalesce(F.col("_after") >= F.col("end"), F.lit(True)))
         .select("row", "doc_id", "start", "end", "token", "left", "right")
     )
 
@@ -129,7 +132,7 @@ def _patterns(frame: DataFrame, *keep: str) -> DataFrame:
 
 
 def bootstrap(placed: DataFrame, candidates: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Spans that patterns add: row, doc_id, kind, start, end."""
+    """Spans that patterns add, without those inside another of their kind: row, doc_id, kind, start, end."""
     shaped = candidates.select("*", F.explode(F.array(*[F.when(F.col("token").rlike(p), F.lit(k)) for k, p in SHAPES.items()])).alias("kind")).where(F.col("kind").isNotNull())
     seeds = _patterns(placed.where("ok"), "kind", "token").distinct().withColumn("score", F.lit(1.0))
     edges = _patterns(shaped, "kind", "token").distinct()
@@ -146,7 +149,9 @@ def bootstrap(placed: DataFrame, candidates: DataFrame, rounds: int = ROUNDS) ->
         known = store(lifted.select("kind", "token", F.greatest("_seed", "_score").alias("score")), "tokens")
     taken = known.where(F.col("score") >= GOOD_TOKEN)
     by_pattern = _patterns(shaped, "row", "doc_id", "kind", "start", "end", "token")
-    return by_pattern.join(good.select("kind", "pattern"), ["kind", "pattern"]).join(taken.select("kind", "token"), ["kind", "token"]).select("row", "doc_id", "kind", "start", "end").distinct()
+    spans = by_pattern.join(good.select("kind", "pattern"), ["kind", "pattern"]).join(taken.select("kind", "token"), ["kind", "token"]).select("row", "doc_id", "kind", "start", "end").distinct()
+    before = W.partitionBy("row", "kind").orderBy("start", F.desc("end")).rowsBetween(W.unboundedPreceding, -1)
+    return spans.withColumn("_before", F.max("end").over(before)).where(F.coalesce(F.col("_before") < F.col("end"), F.lit(True))).drop("_before")
 
 
 def find_pii(docs: DataFrame) -> DataFrame:

@@ -234,6 +234,22 @@ def test_pii(spark, empty):
     assert pii.find_pii(empty).count() == 0
 
 
+def test_pii_of_seeded_contexts(spark):
+    def luhn(digits):
+        worth = [d if i % 2 == 0 else d * 2 - 9 * (d > 4) for i, d in enumerate(map(int, reversed(digits)))]
+        return sum(worth) % 10 == 0
+
+    cards = [x for k in range(400) if luhn(x := f"4111111111{k:06d}")][:30]
+    spaced = [" ".join(x[i : i + 4] for i in range(0, 16, 4)) for x in cards]
+    texts = [f"please call +1 (309) 555-{k:04d} today, my card {c} is new, mail u{k}@x.org soon" for k, c in enumerate(spaced)]
+    unseen = {100: ("please call ", "(309) 555-7741", " today", "phone"), 101: ("my card ", "3782 822463 10005", " is new", "card"), 102: ("my card ", "3782-822463-10005", " is new", "card"), 103: ("mail ", "a" * 70 + "@intranet", " soon", "email")}
+    rows = [*enumerate(texts), *((k, a + b + c) for k, (a, b, c, _) in unseen.items()), (200, "pages 12 14 16 18 20 of 30")]
+    got = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, (a, b, _, kind) in unseen.items():
+        assert not got[k].base and (kind, len(a), len(a + b)) in [(s.kind, s.start, s.end) for s in got[k].spans]
+    assert all(len(got[k].base) == len(got[k].spans) == 3 for k in range(30)) and not got[200].spans
+
+
 def test_top_k(spark):
     rng = np.random.RandomState(0)
     v = {k: rng.randn(8).astype(np.float32).tolist() for k in range(300)}
