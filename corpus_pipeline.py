@@ -43,7 +43,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language", language), ("lines", lines), ("near_duplicates", near_duplicates), ("decontamination", decontamination), ("packing", packing)]
 
-#: Models, sketches and the linear program are beyond SQL; the stages are tested against plain versions.
+#: Models, sketches and packing are beyond SQL; the stages are tested against plain versions.
 ORACLE_SQL = None
 
 

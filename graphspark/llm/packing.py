@@ -1,8 +1,9 @@
-"""Best-fit packing: a configuration linear program over the histogram of lengths.
+"""Best-fit packing: configurations over the histogram of lengths, by a greedy variant of the covering program.
 
 Tokenising writes every piece once, with its rank among its task's pieces of that length. Only the histogram (at most
-``capacity`` rows) reaches the driver, where ``solve`` finds configurations: multiplicative weights on the lengths,
-priced by a knapsack dynamic program, rounded down, and the rest put best-fit into what is open. Pieces then find their
+``capacity`` rows) reaches the driver, where ``solve`` finds configurations: they are subtracted greedily,
+priced by a knapsack dynamic program under weights on the lengths, rounded down, and the rest put best-fit into what is
+open. The linear program is not solved and no bound is computed. Pieces then find their
 place by arithmetic on (length, rank): no sorting by length, no task that holds all pieces of one length.
 """
 
@@ -119,7 +120,8 @@ def trace(best: np.ndarray, last: np.ndarray, c: int) -> list[int]:
 
 
 def configurations(counts: np.ndarray, capacity: int) -> dict[tuple[int, ...], float]:
-    """A fractional solution of: cover every length's count by configurations, as few as can be.
+    """Near-full configurations, with how often each is used, that cover part of the counts; found greedily, not a
+    solution of the linear program: where few combinations are near full, little or nothing is covered here.
 
     Each round prices the lengths by weight (length times a factor that grows with how much of the length is still to
     be covered), solves the knapsack, and takes for each length the best configuration that holds it, if its value is
