@@ -288,7 +288,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for s in batches:
             yield shared.value.score(s.tolist())
 
-    found = docs.withColumn("_l", run(F.col(text).cast("string")))
+    # Not deterministic, as far as the optimizer knows: a filter on the outcome would else score every text once more.
+    found = docs.withColumn("_l", run.asNondeterministic()(F.col(text).cast("string")))
     return found.withColumns({
         "lang_pred": F.col("_l.language"), "score": F.col("_l.score"),
         "entropy": F.nanvl(F.col("_l.entropy"), F.lit(None).cast("double")), "rejected": F.col("_l.rejected"),

@@ -131,7 +131,8 @@ def dedup_lines(docs: DataFrame, lines: int = LINES, words: int | None = None) -
     keyed = docs.withColumn("_digest", text_digest(F.col("text")))
     # The starts grow with the texts: both are always dealt by key, at every size alike.
     joined = keyed.join(late.hint("merge"), keyed["doc_id"].eqNullSafe(late["_id"]) & (keyed["_digest"] == late["_d"]), "left")
-    out = joined.withColumn("_r", rebuilt(F.col("text").cast("string"), F.col("starts"), F.col("sizes")))
+    # Not deterministic, as far as the optimizer knows: a filter on the outcome would else rebuild every text once more.
+    out = joined.withColumn("_r", rebuilt.asNondeterministic()(F.col("text").cast("string"), F.col("starts"), F.col("sizes")))
     new = ("n_lines", "n_removed", "n_runs")
     kept = [F.col("_r.text").alias("text") if c == "text" else keyed[c] for c in docs.columns if c not in new]
     return out.select(*kept, *[F.col(f"_r.{c}").alias(c) for c in new])
