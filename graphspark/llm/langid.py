@@ -161,9 +161,19 @@ def train(samples: dict[str, list[str]]) -> Model:
                 e[j::FOLDS] = _fit({x: own}, len(model.grams[1]) + 1).entropies(texts[j::FOLDS])[:, 0]
             held[x] = texts, e
     model.limits, model.spread = _calibrate(languages, held)
+    _give_back()
     return model
 
 
+def _give_back() -> None:
+    """Return the memory of what is no longer held to the system, where the C library can; the counts of training are many
+    times the model."""
+    import ctypes
+
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def _fit(fit: dict[str, list[str]], alphabet: int | None = None) -> Model:
     """The n-grams and probabilities of a model, without limits; ``alphabet``: its characters and one more, if other texts add any."""
     languages = list(fit)
