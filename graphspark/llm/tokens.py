@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 
 from .common import read
 
-#: Characters of text that are worked off at once, bytes of one encoded batch, entries of a worker's memo.
-PIECE, BATCH_BYTES, MEMO = 1 << 19, 1 << 20, 1_000_000
+#: Characters of text that are worked off at once, bytes of one encoded batch.
+PIECE, BATCH_BYTES = 1 << 19, 1 << 20
+#: About how many bytes a worker's memo holds, what an entry takes beside its characters, and the longest chunk, in
+#: characters, that it keeps from one group of texts to the next.
+MEMO_BYTES, ENTRY_BYTES, LONGEST = 1 << 26, 200, 200
 
 
 def byte_batches(items: list[str], limit: int = BATCH_BYTES) -> Iterator[list[str]]:
@@ -86,6 +89,7 @@ class Memo:
 
     def __init__(self, path: str):
         self.tok, self.known, self.words = tokenizer(path), {}, {}
+        self.held, self.passing = 0, []
         self.model, self.alphabet = self.tok.model, byte_alphabet()
 
     def value(self, ids: list[int]):
@@ -102,9 +106,10 @@ class Memo:
     def marks(self, marks: str):
         found = self.words.get(marks)
         if found is None:
-            if len(self.words) > MEMO:
-                self.words.clear()
-            found = self.words[marks] = self.word(marks)
+            found = self.word(marks)
+            if len(marks) <= LONGEST:
+                self.words[marks] = found
+                self.held += len(marks) + ENTRY_BYTES
         return found
 
     def chunk(self, chunk: str, lead: str = ""):
@@ -125,11 +130,18 @@ class Memo:
         return found
 
     def learn(self, chunks: set[str]) -> None:
-        """Make all of ``chunks`` known."""
-        if len(self.known) > MEMO:
+        """Make all of ``chunks`` known, the long ones until the next call. What is held is bounded by bytes."""
+        for c in self.passing:
+            self.known.pop(c, None)
+        if self.held > MEMO_BYTES:
             self.known.clear()
+            self.words.clear()
+            self.held = 0
         known, other, lead = self.known, [], " " if self.spaced else ""
-        for c in chunks.difference(known):
+        new = chunks.difference(known)
+        self.passing = [c for c in new if len(c) > LONGEST]
+        self.held += sum(map(len, new)) - sum(map(len, self.passing)) + ENTRY_BYTES * (len(new) - len(self.passing))
+        for c in new:
             if (found := self.chunk(c, lead)) is None:
                 other.append(c)
             else:
