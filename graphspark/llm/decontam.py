@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, text_digest
+from .common import read, store, text_digest
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words of a window; windows that are broadcast at once (about 200 bytes each).
@@ -54,7 +54,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = N, block: int = BL
     A row of ``docs`` counts by doc_id and text: rows that agree in both are one here, and ``n_rows`` is how many they are. A null text has no words; a null
     item_id or an item without words hits nothing; an empty benchmark hits nothing.
     """
-    windows = benchmark_windows(benchmark, n).persist()
+    windows = store(benchmark_windows(benchmark, n), "benchmark")
     sizes = {r[0]: r[1] for r in windows.groupBy("_size").count().collect()}  # one row for each size up to n
     blocks = max(1, math.ceil(sum(sizes.values()) / block))
     hashes = F.array(F.struct(F.lit(None).cast("long").alias("h"), F.lit(0).alias("at"), F.lit(0).alias("size")))
@@ -91,6 +91,17 @@ def _covered(hits: Column) -> Column:
     )
 
 
+def _runs(hits: Column) -> Column:
+    """The sorted hits as runs (at, end) that do not touch; ends are exclusive."""
+
+    def add(runs: Column, x: Column) -> Column:
+        last, end = F.try_element_at(runs, F.lit(-1)), x["at"] + x["size"]
+        longer = F.struct(last["at"].alias("at"), F.greatest(last["end"], end).alias("end"))
+        return F.when((F.size(runs) > 0) & (x["at"] <= last["end"]), F.concat(F.slice(runs, F.lit(1), F.size(runs) - 1), F.array(longer))).otherwise(F.concat(runs, F.array(F.struct(x["at"].alias("at"), end.alias("end")))))
+
+    return F.aggregate(hits, F.array().cast("array<struct<at:int,end:int>>"), add)
+
+
 def _once(value: Column, f) -> Column:
     """``f`` of a value that is worked out once."""
     return F.get(F.transform(F.array(value), f), F.lit(0))
@@ -106,22 +117,25 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFram
     keyed = docs.withColumn("_digest", text_digest(F.col("text")))
     joined = keyed.join(hits, keyed["doc_id"].eqNullSafe(hits["_id"]) & (keyed["_digest"] == hits["_d"]), "left")
     # Each step's arrays are made once a row: a lambda's argument is a value, where a column would be worked out again for
-    # every element that refers to it.
-    positions = F.flatten(F.transform("_hits", lambda x: F.sequence(x["at"], x["at"] + x["size"] - 1)))
-    flags = _once(F.array_distinct(positions), lambda p: F.transform(F.sequence(F.lit(1), F.col("n_words").cast("int")), lambda i: F.array_contains(p, i)))
-    made = F.struct(F.regexp_extract_all("text", F.lit(CASED), F.lit(0)).alias("own"), F.split("text", CASED, -1).alias("gaps"), F.col("_flags").alias("flags"))
+    # every element that refers to it. Work grows with the words and the runs, not with their product.
+    cut = F.struct(F.regexp_extract_all("text", F.lit(CASED), F.lit(0)).alias("own"), F.split("text", CASED, -1).alias("gaps"), _runs(F.col("_hits")).alias("runs"))
+
+    def paired(m: Column) -> Column:
+        # Each word with what follows it.
+        return F.struct(F.zip_with(m["own"], F.slice(m["gaps"], F.lit(2), F.size(m["own"])), lambda x, y: F.concat(x, y)).alias("words"), m["gaps"].alias("gaps"), m["runs"].alias("runs"))
 
     def rest(m: Column) -> Column:
-        def word(x: Column, i: Column) -> Column:
-            inside = F.coalesce(F.get(m["flags"], i + 1), F.lit(False))
-            after = F.get(m["gaps"], i + 1)
-            return F.when(F.get(m["flags"], i), F.when(inside, F.lit("")).otherwise(after)).otherwise(F.concat(x, after))
+        def part(run: Column, k: Column) -> Column:
+            # The words since the run before, and what follows the last word of this one.
+            since = F.when(k == 0, F.lit(1)).otherwise(F.get(m["runs"], k - 1)["end"])
+            return F.concat(F.array_join(F.slice(m["words"], since, run["at"] - since), ""), F.get(m["gaps"], run["end"] - 1))
 
-        return F.concat(F.get(m["gaps"], F.lit(0)), F.array_join(F.transform(m["own"], word), ""))
+        last = F.try_element_at(m["runs"], F.lit(-1))["end"]
+        return F.concat(F.get(m["gaps"], F.lit(0)), F.array_join(F.transform(m["runs"], part), ""), F.array_join(F.slice(m["words"], last, F.size(m["words"]) - last + 1), ""))
 
-    cleaned = joined.withColumn("_flags", F.when(F.col("_hits").isNotNull(), flags)).withColumn("_text", F.when(F.col("_hits").isNull(), F.col("text")).otherwise(_once(made, rest)))
-    left_over = F.col("_hits").isNull() | F.exists("_flags", lambda x: ~x)
-    return cleaned.where(left_over).select(*[F.col("_text").alias("text") if c == "text" else keyed[c] for c in docs.columns])
+    hit = F.col("_hits").isNotNull()
+    cleaned = joined.where(~hit | (_covered(F.col("_hits")) < F.col("n_words"))).withColumn("_text", F.when(hit, _once(_once(cut, paired), rest)).otherwise(F.col("text")))
+    return cleaned.select(*[F.col("_text").alias("text") if c == "text" else keyed[c] for c in docs.columns])
 
 
 def report(docs: DataFrame, benchmark: DataFrame, n: int = N) -> DataFrame:
