@@ -11,15 +11,19 @@ from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch.
 BATCH_ROWS = 1000
+#: A key is hot that has more than one row in so many, and more than so many rows; there are fewer than ``HOT`` such keys.
+HOT, HOT_LEAST = 1000, 1000
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Where the session names none (a local test session), a temporary folder of this machine is set.
+    A local session that names none, as in tests, gets a temporary folder of this machine; on a cluster that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='graphspark-')}"
         spark.conf.set("spark.checkpoint.dir", found)
         spark.sparkContext.setCheckpointDir(found)
@@ -42,6 +46,23 @@ def store(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hot_keys(counts: DataFrame, key: str, total: int) -> DataFrame:
+    """Of ``counts`` (key, _n) over ``total`` rows the keys of more than one row in ``HOT``, so fewer than ``HOT`` of them, and
+    _parts: among how many parts such a key's rows are to be dealt."""
+    limit = max(HOT_LEAST, total // HOT)
+    return store(counts.where(F.col("_n") > limit).select(key, F.ceil(F.col("_n") / limit).cast("int").alias("_parts")), "hot")
+
+
+def salted_join(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, by: list[str]) -> DataFrame:
+    """The inner join of ``left`` with ``right`` (unique keys): rows of a hot key are dealt by the hash of ``by`` among as many
+    parts as ``hot`` says, each with a copy of the key's row, so no key's rows all meet in one task."""
+    part = F.coalesce(F.pmod(F.xxhash64(*by), F.col("_parts")), F.lit(0)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
+    one = left.join(F.broadcast(hot), key, "left").withColumn("_part", part).drop("_parts")
+    two = right.join(F.broadcast(hot), key, "left").withColumn("_part", copies).drop("_parts")
+    return one.join(two, [key, "_part"]).drop("_part")
+
+
 def text_digest(text: Column) -> Column:
     """128 bits that stand for a text, as a binary; null counts as empty."""
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrays import mix, window_minima
-from .common import read, store, text_digest
+from .common import hot_keys, read, salted_join, store, text_digest
 
 #: Lines of the shortest run that counts as repeated.
 LINES = 3
@@ -86,13 +86,15 @@ def fingerprints(docs: DataFrame, lines: int = LINES, words: int | None = None)
 def repeated_windows(docs: DataFrame, lines: int = LINES, words: int | None = None) -> DataFrame:
     """doc_id, digest, starts and sizes: first lines and lines of those windows of each row that also begin earlier."""
     found = store(fingerprints(docs, lines, words), "fingerprints")
-    again = found.groupBy("gram").agg(F.count("*").alias("_n")).where(F.col("_n") > 1).select("gram")
+    again = store(found.groupBy("gram").agg(F.count("*").alias("_n")).where(F.col("_n") > 1), "again")
     steps = F.sequence(F.lit(0), F.greatest(F.size("around") - lines, F.lit(0)))
     extended = F.transform(steps, lambda j: F.struct((F.col("first") + j).alias("start"), F.slice("around", j + 1, lines).alias("window")))
-    windows = store(found.join(again, "gram").select("doc_id", "digest", F.explode(extended).alias("_w")).select("doc_id", "digest", "_w.*"), "windows")
+    kept = salted_join(found, again.select("gram"), "gram", hot_keys(again, "gram", found.count()), ["doc_id", "digest", "first"])
+    windows = store(kept.select("doc_id", "digest", F.explode(extended).alias("_w")).select("doc_id", "digest", "_w.*"), "windows")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "start")
-    first = windows.groupBy("window").agg(F.min(place).alias("_first"), F.count("*").alias("_n")).where(F.col("_n") > 1).select("window", "_first")
-    late = windows.join(first, "window").where(place > F.col("_first"))
+    first = store(windows.groupBy("window").agg(F.min(place).alias("_first"), F.count("*").alias("_n")).where(F.col("_n") > 1), "first")
+    hot = hot_keys(first, "window", windows.count())
+    late = salted_join(windows, first.select("window", "_first"), "window", hot, ["doc_id", "digest", "start"]).where(place > F.col("_first"))
     spans = late.groupBy("doc_id", "digest").agg(F.sort_array(F.collect_set(F.struct("start", F.size("window").alias("size")))).alias("_s"))
     return spans.select("doc_id", "digest", F.col("_s.start").alias("starts"), F.col("_s.size").alias("sizes"))
 

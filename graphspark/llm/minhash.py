@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .arrays import runs, shingles, text_buffer
-from .common import read, store, text_digest
+from .common import hot_keys, read, salted_join, store, text_digest
 from .graphs import components
 
 #: Values of a sketch; the chance that a pair at the threshold has too few of them in common.
@@ -95,6 +95,7 @@ def _texts(docs: DataFrame, digests: DataFrame, classes: DataFrame) -> DataFrame
 
 def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """The ``pairs`` (a, b) of classes whose full sets reach the threshold."""
+    n_pairs = pairs.count()
     texts = _texts(docs, pairs.select(F.col("a").alias("digest")).union(pairs.select("b")), classes)
 
     def run(batches: Iterator) -> Iterator:
@@ -127,7 +128,11 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int,
             yield batch.select([0, 1]).take(pa.array(keep))
 
     one, two = texts.select(F.col("digest").alias("b"), F.col("text").alias("_tb")), texts.select(F.col("digest").alias("a"), F.col("text").alias("_ta"))
-    both = pairs.select("a", "b").join(one, "b").join(two, "a")
+    both = pairs.select("a", "b")
+    # Either side may be a class that much is alike to. A repeated doc_id may give a class more texts than one: no matter.
+    for side, table, other in (("b", one, "a"), ("a", two, "b")):
+        hot = hot_keys(pairs.groupBy(side).agg(F.count("*").alias("_n")), side, n_pairs)
+        both = salted_join(both, table, side, hot, [other])
     return both.select("a", "b", "_ta", "_tb").mapInArrow(run, "a binary, b binary").distinct()
 
 
@@ -155,8 +160,10 @@ def links(docs: DataFrame, classes: DataFrame, width: int, percent: int, k: int
     sides = members.select("digest", "n", "sketch")
     other = members.select(F.col("digest").alias("b"), F.col("n").alias("_n"), F.col("sketch").alias("_sketch"))
     pivots = lists.groupBy("value").agg(F.max("rank").alias("_p"))
-    starred = lists.join(pivots, "value").where(F.col("digest") != F.col("_p.digest")).select(F.col("_p.digest").alias("digest"), F.col("digest").alias("b")).distinct()
-    likely = starred.join(sides, "digest").join(other, "b").where(_alike(percent, k)).select(F.col("digest").alias("a"), "b")
+    starred = lists.join(pivots, "value").where(F.col("digest") != F.col("_p.digest")).select(F.col("_p.digest").alias("digest"), F.col("digest").alias("b"))
+    starred = store(starred.distinct(), "starred")
+    hot = hot_keys(starred.groupBy("digest").agg(F.count("*").alias("_n")), "digest", starred.count())
+    likely = salted_join(starred, sides, "digest", hot, ["b"]).join(other, "b").where(_alike(percent, k)).select(F.col("digest").alias("a"), "b")
     first = store(_verified(docs, store(likely, "pairs"), members, width, percent), "verified")
     roots = store(components(first).withColumnsRenamed({"node": "digest"}), "roots")
     marked = lists.join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
