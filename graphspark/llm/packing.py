@@ -1,16 +1,18 @@
-"""Best-fit packing: configurations over the histogram of lengths, by a greedy variant of the covering program.
+"""Best-fit packing: the configuration linear program over the histogram of lengths.
 
 Tokenising writes every piece once, with its rank among its task's pieces of that length. Only the histogram (at most
-``capacity`` rows) reaches the driver, where ``solve`` finds configurations: they are subtracted greedily,
-priced by a knapsack dynamic program under weights on the lengths, rounded down, and the rest put best-fit into what is
-open. The linear program is not solved and no bound is computed. Pieces then find their
-place by arithmetic on (length, rank): no sorting by length, no task that holds all pieces of one length.
+``capacity`` rows) reaches the driver, where the program is solved by multiplicative weights, its columns priced by a
+knapsack dynamic program; its dual bounds the number of sequences. The solution is rounded, and the rest put best-fit
+into sequences. Pieces then find their place by arithmetic on (length, rank): no sorting by length, no task that holds
+all pieces of one length.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -23,8 +25,14 @@ from pyspark.sql import types as T
 from .common import read, store
 from .tokens import grouped, id_memo
 
-#: Rounds of the weights, share of the scarcest length that a configuration takes at once, growth of the weights.
-ROUNDS, STEP, GROWTH = 60, 0.5, 1.5
+#: Rounds of pricing and steps of the shares in each; how sharply weights fall with the cover; how near the best price a
+#: configuration must be; the part of a mixture that new ones take; the steps that are tried; the gap at which to stop.
+ROUNDS, STEPS, SHARPNESS, NEARNESS, ENTER, MOVES, CLOSE = 30, 20, 10.0, 0.03, 0.2, (1.0, 0.5, 0.2, 0.05, 0.0), 1e-3
+#: Scales of a mixture that are tried; columns that stay from round to round, those of the largest shares.
+SCALES = tuple(1 + k / 20 for k in range(-4, 21))
+MOST_COLUMNS = 1500
+#: Shares of the program's solution that are tried in rounding.
+SHARES = (1.0, 0.95, 0.8)
 #: A worker hands on rows once they hold so many ids.
 FLUSH_IDS = 1 << 20
 
@@ -89,70 +97,145 @@ def tokenize_pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: in
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(cut, schema)
 
 
-def knapsack(value: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """best[c]: the most value of items of summed length c at most; last[c]: an item of such a choice, 0 for none.
+def knapsack(value: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """best[c]: the most value of items of summed length c at most; item[c]: the last item of such a choice, 0 for none;
+    room[c]: what that choice takes of c.
 
     ``value`` is by length; lengths of no value are never chosen.
     """
-    best, last = np.zeros(capacity + 1), np.zeros(capacity + 1, dtype=np.int64)
+    best, item, room = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64), np.zeros(capacity + 1, np.int64)
     lengths = np.flatnonzero(value > 0)
-    worth = value[lengths]
+    worth, upto = value[lengths], np.searchsorted(lengths, np.arange(capacity + 1), side="right").tolist()
     for c in range(1, capacity + 1):
-        best[c] = best[c - 1]
-        k = np.searchsorted(lengths, c, side="right")
-        if k:
+        best[c], item[c], room[c] = best[c - 1], item[c - 1], room[c - 1]
+        if k := upto[c]:
             total = worth[:k] + best[c - lengths[:k]]
             j = int(total.argmax())
             if total[j] > best[c]:
-                best[c], last[c] = total[j], lengths[j]
-    return best, last
+                best[c], item[c], room[c] = total[j], lengths[j], c
+    return best, item, room
 
 
-def trace(best: np.ndarray, last: np.ndarray, c: int) -> list[int]:
-    items = []
-    while c > 0:
-        if last[c]:
-            items.append(int(last[c]))
-            c -= int(last[c])
-        else:
-            c -= 1
-    return items
+def choices(item: np.ndarray, room: np.ndarray, first: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
+    """For each length of ``first`` the configuration of the most value that holds it, longest item first."""
+    left, rows = capacity - first, [first]
+    while True:
+        left = room[left]
+        own = item[left]
+        if not own.any():
+            break
+        rows.append(own)
+        left = left - own
+    return [tuple(int(x) for x in c if x) for c in -np.sort(-np.stack(rows, 1), axis=1)]
+
+
+@dataclass
+class Solution:
+    """Fractional configurations that cover the counts, the least value of the program that was found, and the dual value:
+    no packing has fewer sequences."""
+
+    uses: dict[tuple[int, ...], float]
+    sequences: float
+    bound: float
+
 
+def first_prices(lengths: np.ndarray, capacity: int) -> list[np.ndarray]:
+    """Prices to begin with: the length itself, how many fit side by side, and steps of a part of the capacity."""
+    steps = [np.floor((k + 1) * lengths / (capacity + 1)) / k for k in range(1, 9)]
+    return [lengths / capacity, 1 / np.floor(capacity / lengths), *[x for x in steps if x.any()]]
 
-def configurations(counts: np.ndarray, capacity: int) -> dict[tuple[int, ...], float]:
-    """Near-full configurations, with how often each is used, that cover part of the counts; found greedily, not a
-    solution of the linear program: where few combinations are near full, little or nothing is covered here.
 
-    Each round prices the lengths by weight (length times a factor that grows with how much of the length is still to
-    be covered), solves the knapsack, and takes for each length the best configuration that holds it, if its value is
-    within a tolerance of the best one's; the tolerance widens over the rounds.
+def linear_program(counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> Solution:
+    """The configuration program, min sum x_c with sum a_cl x_c >= counts_l, by multiplicative weights.
+
+    The weight of a length falls with the exponential of its cover by the present mixture of configurations. A round
+    prices each length at its weight by count; the knapsack dynamic program gives the configuration of the most price,
+    which scales the prices to a solution of the dual, a bound, and the best configuration for each length. Those near
+    the best enter the mixture, in the shares of the weights and of their nearness; then the mixture's own shares are
+    multiplied up or down by their price at weights that follow the cover, with a step that lowers the sum of the
+    weights. The mixture whose least cover is the greatest is handed on, scaled up until it covers all; the value is that of
+    the best scale at which configurations of one length each cover the rest.
     """
-    left, factor = counts.astype(float), np.ones(capacity + 1)
-    size = np.arange(capacity + 1, dtype=float)
-    found: dict[tuple[int, ...], float] = Counter()
-    for k in range(ROUNDS):
-        open_ = left >= 1
-        if not open_.any():
+    lengths = np.flatnonzero(counts)
+    m = len(lengths)
+    if not m:
+        return Solution({}, 0.0, 0.0)
+    need = counts[lengths].astype(float)
+    place = np.zeros(capacity + 1, np.int64)
+    place[lengths] = np.arange(m)
+    target = float((lengths * need).sum()) / capacity
+
+    def priced(each: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+        price = np.zeros(capacity + 1)
+        price[lengths] = each
+        best, item, room = knapsack(price, capacity)
+        return float((each * need).sum() / best[capacity]), (each + best[capacity - lengths]) / best[capacity], item, room
+
+    bound, each = max((priced(x)[0], k) for k, x in enumerate(first_prices(lengths, capacity)))
+    weight = first_prices(lengths, capacity)[each] * need
+    columns: list[tuple[int, ...]] = []
+    alone = need / np.floor(capacity / lengths)
+    shares, cover, least, most, uses = np.zeros(0), np.zeros(m), math.inf, 0.0, {}
+    for k in range(rounds):
+        weight = weight / weight.sum()
+        value, near, item, room = priced(weight / need)
+        bound = max(bound, value)
+        mass = weight * np.exp((near - near.max()) / NEARNESS)
+        kept = mass > 1e-4 * mass.max()
+        place_of = {c: i for i, c in enumerate(columns)}
+        found, mass = choices(item, room, lengths[kept], capacity), mass[kept] / mass[kept].sum()
+        columns += [c for c in dict.fromkeys(found) if c not in place_of]
+        place_of = {c: i for i, c in enumerate(columns)}
+        fresh = np.zeros(len(columns))
+        np.add.at(fresh, [place_of[c] for c in found], mass)
+        shares = np.concatenate([shares, np.zeros(len(columns) - len(shares))])
+        shares = fresh if not k else (1 - ENTER) * shares + ENTER * fresh
+        items = np.full((len(columns), max(map(len, columns))), m)
+        for i, c in enumerate(columns):
+            items[i, : len(c)] = place[list(c)]
+
+        def covers(of: np.ndarray, items: np.ndarray = items) -> np.ndarray:
+            return np.bincount(items.ravel(), np.repeat(of, items.shape[1]), minlength=m + 1)[:m] * target / need
+
+        cover = covers(shares)
+        for _ in range(STEPS):
+            gain = np.append(np.exp(-SHARPNESS * (cover - cover.min())) / need, 0.0)[items].sum(1)
+            moved = shares * np.exp(np.clip(2 * (gain / (shares @ gain) - 1), -2, 2))
+            moved /= moved.sum()
+            towards = covers(moved)
+            sums = [np.exp(-SHARPNESS * ((1 - t) * cover + t * towards - cover.min())).sum() for t in MOVES]
+            t = MOVES[int(np.argmin(sums))]
+            if not t:
+                break
+            shares, cover = (1 - t) * shares + t * moved, (1 - t) * cover + t * towards
+        totals = [target * x + float((np.maximum(0, 1 - x * cover) * alone).sum()) for x in SCALES]
+        least = min(least, *totals)
+        if cover.min() > most:
+            most = float(cover.min())
+            uses = {c: x * target / most for c, x in zip(columns, shares.tolist(), strict=True) if x > 0}
+        weight = np.exp(-SHARPNESS * (cover - cover.min()))
+        if least <= bound * (1 + CLOSE):
             break
-        value = np.where(open_, size * factor, 0)
-        best, last = knapsack(value, capacity)
-        tolerance = 1e-9 + 0.02 * (k / ROUNDS) ** 2
-        for length in np.flatnonzero(open_)[::-1]:
-            if left[length] < 1 or value[length] + best[capacity - length] < (1 - tolerance) * best[capacity]:
-                continue
-            items = Counter([int(length), *trace(best, last, capacity - int(length))])
-            if sum(x * m for x, m in items.items()) < (1 - tolerance) * capacity:
-                continue
-            most = min(left[x] / m for x, m in items.items())
-            times = max(STEP * most, min(most, 1.0))
-            if times < 0.5:
-                continue
-            found[tuple(sorted(items.elements(), reverse=True))] += times
-            for x, m in items.items():
-                left[x] -= m * times
-        share = np.divide(left, counts, out=np.zeros(capacity + 1), where=counts > 0)
-        factor = factor * np.exp(GROWTH / ROUNDS * np.where(counts > 0, share - share[counts > 0].mean(), 0))
-    return found
+        kept = np.sort(np.argsort(-shares, kind="stable")[:MOST_COLUMNS])
+        columns, shares = [columns[i] for i in kept.tolist()], shares[kept] / shares[kept].sum()
+    return Solution(uses, least, bound)
+
+
+def rounded(uses: dict[tuple[int, ...], float], counts: np.ndarray, share: float) -> tuple[Counter, np.ndarray]:
+    """Whole uses of the configurations, ``share`` of each and one more while all its items are left; and what is left."""
+    left, plan = counts.copy(), Counter()
+    ordered = sorted(uses.items(), key=lambda x: (-x[1], x[0]))
+    for extra in (False, True):
+        for c, x in ordered:
+            times = 1 if extra else int(x * share)
+            if times:
+                own = Counter(c)
+                times = min([times, *(int(left[y]) // m for y, m in own.items())])
+                if times > 0:
+                    plan[c] += times
+                    for y, m in own.items():
+                        left[y] -= m * times
+    return plan, left
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> Counter:
@@ -187,26 +270,29 @@ def best_fit(counts: dict[int, int], capacity: int) -> Counter:
     return out
 
 
-def solve(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Configurations (lengths, longest first) and how often each is used; together they hold ``histogram`` exactly."""
+def solve(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[tuple[int, ...], int]], float]:
+    """Configurations (lengths, longest first) and how often each is used, which together hold ``histogram`` exactly, and
+    the bound that the program's dual gives on the number of sequences.
+
+    The solution of the program is rounded down to several shares, what is left goes best-fit, and the plan of the fewest
+    sequences stays; best fit alone is one of them, so none is worse.
+    """
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in histogram.items():
         counts[length] = n
-    plan: Counter = Counter()
-    if counts[capacity]:
-        plan[(capacity,)] = int(counts[capacity])
-        counts[capacity] = 0
-    left = counts.copy()
-    for items, times in configurations(counts, capacity).items():
-        if whole := int(times):
-            own = Counter(items)
-            whole = min([whole, *(int(left[x]) // m for x, m in own.items())])
-            if whole:
-                plan[items] += whole
-                for x, m in own.items():
-                    left[x] -= m * whole
-    plan.update(best_fit({int(x): int(left[x]) for x in np.flatnonzero(left)}, capacity))
-    return sorted(plan.items(), reverse=True)
+    full, counts[capacity] = int(counts[capacity]), 0
+    solution = linear_program(counts, capacity)
+    best: Counter | None = None
+    for share in (*SHARES, 0.0):
+        plan, left = rounded(solution.uses if share else {}, counts, share)
+        plan.update(best_fit({int(x): int(left[x]) for x in np.flatnonzero(left)}, capacity))
+        if best is None or plan.total() < best.total():
+            best = plan
+        if best.total() <= math.ceil(solution.bound - 1e-6):
+            break
+    if full:
+        best[(capacity,)] += full
+    return sorted(best.items(), reverse=True), solution.bound + full
 
 
 def slots(plan: list[tuple[tuple[int, ...], int]]) -> tuple[np.ndarray, ...]:
@@ -235,7 +321,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     pieces = store(pieces, "pieces")
     counts = pieces.groupBy("part", "length").agg(F.count("*").alias("_n"))
     histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("_n")).collect()}  # at most ``capacity`` rows
-    plan = spark.sparkContext.broadcast(slots(solve(histogram, capacity)))
+    plan = spark.sparkContext.broadcast(slots(solve(histogram, capacity)[0]))
     earlier = W.partitionBy("length").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     first = counts.select("part", "length", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_first"))
 
