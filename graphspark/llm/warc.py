@@ -1,22 +1,27 @@
 """WARC archives with revisit resolution.
 
-Headers are shuffled by payload digest to find each payload's first record; records of later pages are joined to it and
-become revisits with fresh headers, and the deduplicated archives are written by Spark's own text sink, whose line
-separator is the blank line that ends a WARC record. Reading parses whole records by their Content-Length.
+Headers alone are shuffled by payload digest, a frequent digest's in parts, to find each payload's first record; what is
+to become a revisit is then joined to its page by page and digest, so that copies of one payload do not meet in one task.
+Records are strung together up to a number of bytes, and Spark's own text sink, whose line separator is the blank line
+that ends a record, writes so many of these to a file. Reading parses whole records by their Content-Length.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, shared_dir
+from .common import hot_keys, read, salted_join, shared_dir
 
-#: Payloads shorter than this are always written in full. Records of one file at most.
-LEAST, FILE_RECORDS = 100, 20_000
+#: Payloads shorter than this are always written in full.
+LEAST = 100
+#: Bytes up to which records are strung together, and such strings, or single longer records, of one file: a file is read as
+#: a whole, and stays below 2 GB while pages are below 250 MB.
+STRING_BYTES, FILE_STRINGS = 1 << 24, 8
 END = "\r\n\r\n"
 
 
@@ -45,18 +50,25 @@ def resolve_revisits(pages: DataFrame, least: int = LEAST) -> DataFrame:
         "payload_digest": F.sha2(F.col("payload").cast("binary"), 256),
         "payload_bytes": F.octet_length("payload").cast("long"),
     })
-    first = base.where(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.min(F.struct(F.col("page_id").isNull(), "page_id", "url")).alias("_first"))
-    revisit = F.col("_first.page_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first.page_id"))
-    return base.join(first, "payload_digest", "left").select(
-        "page_id", "url", "payload", "payload_bytes", "payload_digest",
-        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("_first.page_id")).alias("refers_to"),
-        F.when(revisit, F.col("_first.url")).alias("refers_url"),
+    heads = base.where(F.col("payload_bytes") >= least).select("page_id", "url", "payload_digest")
+    smallest = F.min(F.struct(F.col("page_id").isNull(), "page_id", "url")).alias("_first")
+    shared = heads.groupBy("payload_digest").agg(F.count("*").alias("_n"), smallest).where(F.col("_n") > 1)
+    counts = shared.select("payload_digest", "_n")
+    late = salted_join(heads, shared.select("payload_digest", "_first"), "payload_digest", hot_keys(counts, "payload_digest", heads.count()), ["page_id", "url"])
+    late = late.where(F.col("_first.page_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first.page_id")))
+    late = late.select(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_d"), F.col("_first.page_id").alias("refers_to"), F.col("_first.url").alias("refers_url")).distinct()
+    revisit = F.col("refers_to").isNotNull()
+    return base.join(late, base["page_id"].eqNullSafe(late["_id"]) & (base["payload_digest"] == late["_d"]), "left").select(
+        "page_id", "url", "payload", "payload_bytes", "payload_digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"), "refers_to", "refers_url",
     )
 
 
 def write_warc(resolved: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z") -> None:
-    """Write each row of ``resolve_revisits`` as a WARC/1.1 record to a folder of archives at ``path``."""
+    """Write each row of ``resolve_revisits`` as a WARC/1.1 record to a folder of archives at ``path``.
+
+    A null page_id or url gives no such header, an empty table a folder without archives; repeated rows give repeated
+    records.
+    """
     full = F.col("record_type") == "response"
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("payload_bytes").cast("string"), F.lit(END))
     block = F.when(full, F.concat(http, "payload")).otherwise(http)
@@ -70,7 +82,23 @@ def write_warc(resolved: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z
         _header("X-Page-Id", F.col("page_id")), _header("X-Refers-To-Page-Id", F.col("refers_to")),
         F.lit("Content-Type: application/http;msgtype=response\r\n"), _header("Content-Length", F.octet_length(block)), F.lit("\r\n"),
     )
-    resolved.select(F.concat(head, block).alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", FILE_RECORDS).text(path)
+
+    def strung(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        held, size = [], 0
+        for batch in batches:
+            for record in batch.column(0).to_pylist():
+                held.append(record)
+                size += len(record.encode())
+                if size >= STRING_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array([END.join(held)])], names=["value"])
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([END.join(held)])], names=["value"])
+
+    records = resolved.select(F.concat(head, block).alias("value")).mapInArrow(strung, "value string")
+    records.write.option("lineSep", END).option("maxRecordsPerFile", FILE_STRINGS).text(path)
 
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -78,10 +106,10 @@ def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     at = 0
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode().split("\r\n")
+        lines = data[at:end].decode("utf-8", "replace").split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"no WARC record at byte {at}")
-        headers = {k.lower(): v for k, _, v in (x.partition(": ") for x in lines[1:])}
+        headers = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
         length = int(headers["content-length"])
         yield headers, data[end + 4 : end + 4 + length]
         at = end + 4 + length + 4
@@ -91,7 +119,10 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The records of the archives at ``path``: page_id, url, payload_bytes, payload_digest, record_type, refers_to, html.
 
     The digest of a response is taken anew from its payload; a revisit has those of the payload it stands for, and no
-    html. One archive file is held in memory at a time.
+    html; its size is null where its block does not say it. Records of other kinds come with the size and digest of their
+    block. page_id and refers_to are those of archives that ``write_warc`` wrote, else null. Bytes that are no UTF-8 are
+    replaced in html, not in the digest. One archive file is held in memory at a time. A folder without archives gives an
+    empty table.
     """
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, html string"
 
@@ -111,12 +142,16 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 rows, held = [], 0
                 for headers, block in parse_records(batch.column(0)[k].as_py()):
                     http, _, payload = block.partition(b"\r\n\r\n")
-                    number = {n: int(headers[n]) if n in headers else None for n in ("x-page-id", "x-refers-to-page-id")}
-                    if full := headers["warc-type"] == "response":
-                        size, digest = len(payload), hashlib.sha256(payload).hexdigest()
+                    number = {n: int(headers[n]) if headers.get(n, "").lstrip("-").isdigit() else None for n in ("x-page-id", "x-refers-to-page-id")}
+                    kind = headers.get("warc-type", "unknown")
+                    if kind == "revisit":
+                        said = re.search(rb"(?i)^content-length:\s*(\d+)\s*$", http, re.M)
+                        size, digest = int(said[1]) if said else None, headers.get("warc-payload-digest", "").partition(":")[2] or None
                     else:
-                        size, digest = int(http.rpartition(b"Content-Length: ")[2]), headers["warc-payload-digest"].partition(":")[2]
-                    rows.append((number["x-page-id"], headers.get("warc-target-uri"), size, digest, headers["warc-type"], number["x-refers-to-page-id"], payload.decode() if full else None))
+                        payload = payload if kind == "response" else block
+                        size, digest = len(payload), hashlib.sha256(payload).hexdigest()
+                    text = payload.decode("utf-8", "replace") if kind == "response" else None
+                    rows.append((number["x-page-id"], headers.get("warc-target-uri"), size, digest, kind, number["x-refers-to-page-id"], text))
                     held += len(payload)
                     if held > 1 << 23:
                         yield out(rows)
