@@ -184,7 +184,7 @@ def _listed(spans: str) -> Column:
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(read(spark, sf_dir, "documents"))
     counts = [_count(k).alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(_listed("base").cast("binary"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(_listed("base").cast("binary"), 256).alias("base_sha256"), _listed("spans").alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def _count(kind: str) -> Column:
