@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .identifiers import literal_map, trimmed
 
-#: One item: text, URL and count.
+# Fixed value: one item, with its text, URL and count.
 ITEM = r'<li/>([^<]+)\(<a\s+href="([^"]+)"[^>]*>(\d+)</a>\)'
 # Verbs and the relation types that they state.
 VERB_TYPE = {
@@ -72,47 +72,108 @@ def process_iri(kind: Column) -> Column:
     return F.try_element_at(literal_map(TYPE_PROCESS), kind)
 
 
+def has_mapping(kind: Column) -> Column:
+    """If the relation type is one of the table; others get the default predicate."""
+    return F.coalesce(kind.isin(*TYPE_PREDICATE), F.lit(False))
+
+
 def verb_label(kind: Column) -> Column:
     return F.coalesce(F.try_element_at(literal_map({t: v for v, t in VERB_TYPE.items()}), kind), F.lit("interacts with"))
 
 
+def _query(url: Column) -> Column:
+    """What stands between the first ? and the # of an absolute URL; null where there is none."""
+    before = F.substring_index(url, "#", 1)
+    at = F.instr(before, "?")
+    return F.when((at > 0) & url.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.substr(before, at + 1))
+
+
+def _parameter(query: Column, name: str) -> Column:
+    led, mark = F.concat(F.lit("&"), query), f"&{name}="
+    at = F.instr(led, mark)
+    found = F.substring_index(F.substr(led, at + len(mark)), "&", 1)
+    plain = F.when(found.rlike("[%+]"), F.try_url_decode(F.replace(found, F.lit(" "), F.lit("%20")))).otherwise(found)
+    return F.nullif(F.when(at > 0, plain), F.lit(""))
+
+
 def url_parameter(url: Column, name: str) -> Column:
     """A query parameter, decoded; null where there is none or it is empty. Raw spaces are allowed; a # ends the query."""
-    query = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*:[^?#]*\?([^#]*)", 1)
-    found = F.regexp_extract(F.concat(F.lit("&"), query), f"&{name}=([^&]*)", 1)
-    return F.nullif(F.try_url_decode(F.replace(found, F.lit(" "), F.lit("%20"))), F.lit(""))
+    return _parameter(_query(url), name)
 
 
 def text_relation(text: Column) -> Column:
     """subject, object and kind of a sentence of two words and a verb between them; null where it is none."""
-    pattern = rf"(?i)^(\w+)\s+({'|'.join(VERB_TYPE)})\s+(\w+)$"
-    kind = F.try_element_at(literal_map(VERB_TYPE), F.lower(F.regexp_extract(text, pattern, 2)))
-    return F.when(text.rlike(pattern), F.struct(F.regexp_extract(text, pattern, 1).alias("subject"), F.regexp_extract(text, pattern, 3).alias("object"), kind.alias("kind")))
+    # One match; the mark cannot stand in a word, and a text that does not match has no parts.
+    pattern, mark = rf"(?i)^(\w+)\s+({'|'.join(VERB_TYPE)})\s+(\w+)$", "\x01"
+    parts = F.when(text.rlike(r"^\w+\s"), F.split(F.regexp_replace(text, pattern, f"{mark}$1{mark}$2{mark}$3"), mark))
+    kinds = literal_map(VERB_TYPE)
+    one = F.get(F.transform(F.array(parts), lambda p: F.when(F.size(p) == 4, F.struct(F.get(p, F.lit(1)).alias("subject"), F.get(p, F.lit(3)).alias("object"), F.try_element_at(kinds, F.lower(F.get(p, F.lit(2)))).alias("kind")))), F.lit(0))
+    return F.when(text.isNotNull(), one)
 
 
 def items(html: Column) -> Column:
-    """Array of (text, url, n) of all items in order."""
-    parts = [F.regexp_extract_all(html, F.lit(ITEM), F.lit(k)) for k in (1, 2, 3)]
-    return F.transform(F.arrays_zip(*[p.alias(n) for p, n in zip(parts, ("text", "url", "n"), strict=True)]), lambda x: F.struct(x["text"].alias("text"), x["url"].alias("url"), x["n"].cast("bigint").alias("n")))
+    """Array of (text, url, n) of all items in order; null for null."""
+
+    def one(x: Column) -> Column:
+        # In a match the text has no <, so the first two after <li/> are those of the link and of its end.
+        link = F.substr(x, F.instr(x, "(<a") + 3)
+        text = F.substr(x, F.lit(6), F.instr(x, "(<a") - 6)
+        n = F.substring_index(F.substring_index(x, "</a>", 1), ">", -1)
+        return F.struct(text.alias("text"), F.substring_index(F.substring_index(link, '"', 2), '"', -1).alias("url"), n.cast("bigint").alias("n"))
+
+    return F.transform(F.regexp_extract_all(html, F.lit(ITEM), F.lit(0)), one)
 
 
 def relations(html: Column) -> Column:
-    """Array of (subject, object, kind, n, url) of the items that state a relation: by URL, else by text; others are left out."""
+    """Array of (subject, object, kind, n, url) of the items that state a relation: by URL, else by text; others are left out.
 
-    def one(x: Column) -> Column:
-        s, o, t = (url_parameter(x["url"], p) for p in ("subject", "object", "type"))
-        by_text = text_relation(trimmed(x["text"]))
-        whole = s.isNotNull() & o.isNotNull() & t.isNotNull()
-        pick = lambda a, b: F.when(whole, a).otherwise(by_text[b])
-        return F.struct(pick(s, "subject").alias("subject"), pick(o, "object").alias("object"), pick(t, "kind").alias("kind"), x["n"].alias("n"), x["url"].alias("url"))
+    Each step is an array of its own, made once: what a lambda gets is a value, where a column would be worked out again
+    wherever it is referred to.
+    """
+
+    def by_url(x: Column) -> Column:
+        params = F.get(F.transform(F.array(_query(x["url"])), lambda q: F.struct(*[_parameter(q, p).alias(p) for p in ("subject", "object", "type")])), F.lit(0))
+        return F.struct(x.alias("x"), params.alias("p"))
 
-    return F.filter(F.transform(items(html), one), lambda r: r["subject"].isNotNull())
+    def whole(y: Column) -> Column:
+        x, p = y["x"], y["p"]
+        stated = p["subject"].isNotNull() & p["object"].isNotNull() & p["type"].isNotNull()
+        link = F.struct(p["subject"].alias("subject"), p["object"].alias("object"), p["type"].alias("kind"))
+        return F.struct(F.when(stated, link).otherwise(text_relation(trimmed(x["text"]))).alias("r"), x["n"].alias("n"), x["url"].alias("url"))
+
+    made = F.filter(F.transform(F.transform(items(html), by_url), whole), lambda z: z["r"].isNotNull())
+    return F.transform(made, lambda z: F.struct(z["r"]["subject"].alias("subject"), z["r"]["object"].alias("object"), z["r"]["kind"].alias("kind"), z["n"].alias("n"), z["url"].alias("url")))
+
+
+def exploded(df: DataFrame, html: str | Column, *keep: str) -> DataFrame:
+    """``keep`` columns, i (place among the relations of the row) and r (a relation), one row a relation.
+
+    An outer explode, filtered after it: an inner one would infer a filter that works the relations out once more.
+    """
+    html = F.col(html) if isinstance(html, str) else html
+    return df.select(*keep, F.posexplode_outer(relations(html)).alias("i", "r")).where(F.col("r").isNotNull())
+
+
+def evidence_urls(html: Column) -> Column:
+    """The URLs of all items, in order."""
+    return F.transform(items(html), lambda x: x["url"])
+
+
+def evidence_count(text: Column) -> Column:
+    """The number between > and </a> at the end of an item; null where there is none."""
+    return F.nullif(F.regexp_extract(text, r">(\d+)</a>\)?$", 1), F.lit("")).cast("bigint")
 
 
 def total_evidence(html: Column) -> Column:
+    """The counts of all items together; 0 where there is none."""
     return F.coalesce(F.aggregate(items(html), F.lit(0).cast("bigint"), lambda a, x: a + x["n"]), F.lit(0))
 
 
+def slim(html: Column) -> Column:
+    """The least HTML with the same items; null stays null."""
+    return F.when(html.isNotNull(), items_html(items(html)))
+
+
 def items_html(found: Column) -> Column:
     """The least HTML that gives the same items."""
     return F.array_join(F.transform(found, lambda x: F.concat(F.lit("<li/>"), x["text"], F.lit('(<a href="'), x["url"], F.lit('">'), x["n"].cast("string"), F.lit("</a>)"))), "")

@@ -6,39 +6,22 @@ pathways that parts participate in; regions contain nations, which contain custo
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import importlib
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from graphspark.functions import chemicals as C
 from graphspark.functions import evidence as E
 from graphspark.functions import identifiers as I
-from graphspark.operators import dedup, hierarchy, patterns, resolve, select
-
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_ORACLE: dict[str, str] = {}
-
-
-def query(sql: str | None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        _QUERIES[f.__name__] = f
-        if sql:
-            _ORACLE[f.__name__] = sql
-        return f
-
-    return register
-
+from graphspark.operators import dedup, hierarchy, patterns, positions, resolve, select
+from graphspark.plans import registry
+from graphspark.plans.registry import query
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _values(spark: SparkSession, names: str, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, names)
-
-
 def _facts(spark: SparkSession, d: str) -> DataFrame:
     """Line items as interactions: subject (customer), object (supplier), part, score, n, edge number, order."""
     orders = _table(spark, d, "orders").select("o_orderkey", "o_custkey")
@@ -136,13 +119,29 @@ def url_params(spark, d):
     return _table(spark, d, "pages").select("page_id", E.url_parameter(F.col("url"), "utm_source").alias("utm_source"), E.url_parameter(F.col("url"), "id").alias("id"))
 
 
-@query("""SELECT o_orderkey, 'Customer' || o_custkey AS subject, 'Order' || o_orderkey AS object, 'Phosphorylation' AS kind, o_custkey AS n FROM orders""")
+# Two items a row: by URL with a space and an encoded mark, and by text, or one that neither states; the third is none.
+_ITEMS = """(SELECT o_orderkey, 0 AS pos, 'Customer ' || o_custkey AS subject, 'Order' || o_orderkey AS object, 'Phosphorylation' AS kind, o_custkey AS n FROM orders
+    UNION ALL SELECT o_orderkey, 1, 'c' || o_custkey, 'o' || o_orderkey, 'IncreaseAmount', 7 FROM orders WHERE o_orderkey % 3 = 0)"""
+
+
+def _order_html() -> Column:
+    c, o = F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string")
+    link = lambda text, url, n: F.concat(F.lit("<li/>"), text, F.lit('(<a href="'), url, F.lit('" target="_blank">'), n, F.lit("</a>)"))
+    by_url = link(F.lit("any (text)"), F.concat(F.lit("https://x.org/a?subject=Customer "), c, F.lit("&object=Or%64er"), o, F.lit("&type=Phosphorylation#x")), c)
+    told = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("c"), c, F.lit(" Increases the amount of o"), o)).otherwise("says nothing")
+    return F.concat(F.lit("<ul>"), by_url, F.lit("<br>"), link(told, F.lit("https://x.org/a?subject=3&#x27;5&object=o&type=Complex"), F.lit("7")), F.lit("</ul>"))
+
+
+@query(f"SELECT o_orderkey, pos, subject, object, kind, n FROM {_ITEMS}")
 def evidence_items(spark, d):
-    text = F.concat(F.lit("Customer"), "o_custkey", F.lit(" phosphorylates Order"), "o_orderkey")
-    url = F.concat(F.lit("https://x.org/a?subject=Customer"), "o_custkey", F.lit("&object=Order"), "o_orderkey", F.lit("&type=Phosphorylation"))
-    by_url, by_text = (F.concat(F.lit("<li/>"), text, F.lit('(<a href="'), u, F.lit('" target="_blank">'), "o_custkey", F.lit("</a>)")) for u in (url, F.lit("https://x.org/a")))
-    html = F.when(F.col("o_orderkey") % 2 == 0, by_url).otherwise(by_text)
-    return _table(spark, d, "orders").select("o_orderkey", F.explode(E.relations(html)).alias("r")).select("o_orderkey", "r.subject", "r.object", "r.kind", "r.n")
+    return E.exploded(_table(spark, d, "orders"), _order_html(), "o_orderkey").select("o_orderkey", F.col("i").alias("pos"), "r.subject", "r.object", "r.kind", "r.n")
+
+
+@query("SELECT o_orderkey, o_custkey + 7 AS total, 2 AS urls, '<li/>any (text)(<a href=\"https://x.org/a?subject=Customer ' || o_custkey || '&object=Or%64er' || o_orderkey || '&type=Phosphorylation#x\">' || o_custkey || '</a>)' AS head FROM orders")
+def slim_items(spark, d):
+    rows = _table(spark, d, "orders").select("o_orderkey", _order_html().alias("h"))
+    slim = E.slim(F.col("h"))
+    return rows.select("o_orderkey", E.total_evidence(F.col("h")).alias("total"), F.size(E.evidence_urls(F.col("h"))).alias("urls"), F.concat(F.substring_index(slim, "</a>)", 1), F.lit("</a>)")).alias("head"))
 
 
 @query("""SELECT 'nation' || n_nationkey AS s, 'in' AS p, 'region' || n_regionkey AS o FROM nation UNION SELECT 'cust' || c_custkey, 'in', 'nation' || c_nationkey FROM customer
@@ -179,9 +178,29 @@ def _nation_edges(spark, d):
     return f.join(c, F.col("subject") == F.col("c_custkey")).join(s, F.col("object") == F.col("s_suppkey")).select("a", "b", "n", (F.col("pathway") * 10 + F.col("line")).alias("ord"))
 
 
-@query(f"SELECT least(a, b) AS low, greatest(a, b) AS high, a <= b AS forward, count(*) AS n, CAST(sum(n) AS BIGINT) AS evidence, min(ord) AS first FROM {_N} GROUP BY 1, 2, 3")
+# Edges of nation pairs, the first of each order, and two items of each third one, which may name other nations.
+_PAIRS = f"(SELECT ord AS pos, min(a) AS s, min(b) AS t FROM {_N} WHERE ord % 50 = 1 GROUP BY 1)"
+_SAID = f"""(SELECT pos, 0 AS i, 'x' || pos % 4 AS item, CASE WHEN pos % 2 = 0 THEN s ELSE t END AS ds, CASE WHEN pos % 2 = 0 THEN t ELSE s END AS dt FROM {_PAIRS} WHERE pos % 3 <> 0
+    UNION ALL SELECT pos, 1, 'y' || pos % 2, s, CAST(NULL AS INTEGER) FROM {_PAIRS} WHERE pos % 3 = 1)"""
+
+
+@query(f"""WITH e AS (SELECT * FROM {_PAIRS}), w AS (SELECT *, least(s, t) AS low, greatest(s, t) AS high FROM e),
+    p AS (SELECT low, high, min(pos) AS pair_pos, count(*) AS n, arg_min(s, pos) AS s0, arg_min(t, pos) AS t0 FROM w GROUP BY 1, 2),
+    j AS (SELECT w.pos, w.low, w.high, pair_pos, coalesce(i, -1) AS i, item, CASE WHEN ds IS NULL OR dt IS NULL THEN s0 ELSE ds END AS a, CASE WHEN ds IS NULL OR dt IS NULL THEN t0 ELSE dt END AS b
+          FROM w JOIN p ON w.low = p.low AND w.high = p.high AND n > 1 LEFT JOIN {_SAID} x ON x.pos = w.pos),
+    k AS (SELECT low, high, pair_pos, a, b, min(pos * 10 + i + 1) AS place, arg_min(pos, pos * 10 + i + 1) AS edge FROM j GROUP BY 1, 2, 3, 4, 5),
+    f AS (SELECT low, high, a, b, string_agg(item, ',' ORDER BY pl) AS found FROM (SELECT low, high, a, b, item, min(pos * 10 + i + 1) AS pl FROM j WHERE item IS NOT NULL GROUP BY 1, 2, 3, 4, 5) GROUP BY 1, 2, 3, 4),
+    r AS (SELECT e.s, e.t, pair_pos, place, edge, coalesce(found, '') AS found FROM k JOIN e ON e.pos = k.edge LEFT JOIN f ON f.low = k.low AND f.high = k.high AND f.a = k.a AND f.b = k.b
+          UNION ALL SELECT w.s, w.t, pair_pos, w.pos * 10, w.pos, '-' FROM w JOIN p ON w.low = p.low AND w.high = p.high AND n = 1)
+    SELECT CAST(row_number() OVER (ORDER BY pair_pos, place) - 1 AS BIGINT) AS id, s, t, edge, found FROM r""")
 def directed_collapse(spark, d):
-    return dedup.directed_collapse(_nation_edges(spark, d), "a", "b", "ord", "n")
+    edges = _nation_edges(spark, d).where("ord % 50 = 1").groupBy(F.col("ord").alias("pos")).agg(F.min("a").alias("s"), F.min("b").alias("t"))
+    ends = lambda a, b: F.when(F.col("pos") % 2 == 0, F.col(a)).otherwise(F.col(b))
+    one = edges.where("pos % 3 <> 0").select("pos", F.lit(0).alias("i"), F.concat(F.lit("x"), F.col("pos") % 4).alias("item"), ends("s", "t").alias("ds"), ends("t", "s").alias("dt"))
+    two = edges.where("pos % 3 = 1").select("pos", F.lit(1).alias("i"), F.concat(F.lit("y"), F.col("pos") % 2).alias("item"), F.col("s").alias("ds"), F.lit(None).cast("int").alias("dt"))
+    found = positions.dense_positions(dedup.collapse_by_direction(edges, one.union(two)), ["pair_pos", "place"], "id")
+    said = F.when(F.col("single"), "-").otherwise(F.coalesce(F.array_join("found", ","), F.lit("")))
+    return found.select("id", "s", "t", "edge", said.alias("found"))
 
 
 @query(f"SELECT least(a, b) AS low, greatest(a, b) AS high, count(*) AS n FROM {_N} GROUP BY 1, 2 HAVING count(*) > 50")
@@ -241,29 +260,13 @@ def descendant_union(spark, d):
     return hierarchy.held_by_descendants(hierarchy.closure(_contained(spark, d)), members)
 
 
-@query(f"SELECT child AS s, 'part_of' AS p, parent AS o FROM {_C}")
-def containment_edges(spark, d):
-    return hierarchy.containment(_contained(spark, d))
-
-
 @query("SELECT c_nationkey AS system, c_custkey AS member FROM customer WHERE c_nationkey IN (SELECT c_nationkey FROM customer GROUP BY 1 HAVING count(*) < 60)")
 def payload_cutoff(spark, d):
     c = _table(spark, d, "customer")
-    small = c.groupBy("c_nationkey").count().where("count < 60").select("c_nationkey")
+    small = select.with_payload(c.groupBy("c_nationkey").count(), "count", 60).select("c_nationkey")
     return c.join(small, "c_nationkey").select(F.col("c_nationkey").alias("system"), F.col("c_custkey").alias("member"))
 
 
-@query("SELECT user_id, event_type AS cohort, round(sum(CASE WHEN value > 50 THEN 1 ELSE 0 END) / count(*), 6) AS frequency FROM events GROUP BY 1, 2 HAVING sum(CASE WHEN value > 50 THEN 1 ELSE 0 END) > 0")
-def cohort_associations(spark, d):
-    high = F.when(F.col("value") > 50, 1).otherwise(0)
-    return _table(spark, d, "events").groupBy("user_id", F.col("event_type").alias("cohort")).agg(F.sum(high).alias("_n"), F.round(F.sum(high) / F.count("*"), 6).alias("frequency")).where("_n > 0").drop("_n")
-
-
-@query("SELECT user_id, count(*) AS n FROM events GROUP BY 1 HAVING avg(value) < 45")
-def significance_associations(spark, d):
-    return _table(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("n"), F.avg("value").alias("_p")).where(F.col("_p").isNotNull() & (F.col("_p") < 45)).drop("_p")
-
-
 @query(f"SELECT subject AS a, object AS b FROM {_F} UNION SELECT object, subject FROM {_F}")
 def symmetric_partners(spark, d):
     return patterns.symmetric(_facts(spark, d), "subject", "object")
@@ -297,18 +300,34 @@ def alias_expanded_join(spark, d):
     WHEN b.v IS NOT NULL THEN 'large' || CASE WHEN b.n > 1 THEN '_ambiguous' ELSE '' END ELSE 'unresolved' END AS route FROM part LEFT JOIN a ON a.k = p_brand LEFT JOIN b ON b.k = p_brand""")
 def priority_resolution(spark, d):
     parts = _table(spark, d, "part")
-    tiers = [("small", parts.where("p_size < 5").select("p_brand", "p_partkey")), ("large", parts.where("p_size >= 20").select("p_brand", "p_partkey"))]
+    tiers = [(name, parts.where(which).select("p_brand", "p_partkey"), ["p_partkey"]) for name, which in (("small", "p_size < 5"), ("large", "p_size >= 20"))]
     return resolve.cascade(parts.select("p_partkey", "p_brand"), "p_brand", tiers).select("p_partkey", "resolved", "route")
 
 
-@query("""WITH f AS (SELECT p_partkey, p_brand, CASE WHEN p_size IS NULL THEN 'NO-ID' WHEN p_size < 10 THEN 'OK' WHEN p_size < 30 THEN 'NO-CID' ELSE 'UNRESOLVED' END AS flag FROM part)
-    SELECT p_partkey, flag, CASE flag WHEN 'UNRESOLVED' THEN 1 WHEN 'NO-ID' THEN 2 WHEN 'NO-CID' THEN 3 ELSE 4 END AS severity, count(*) OVER (PARTITION BY p_brand, flag) > 1 AS collides FROM f""")
+# What a normalizer would say of parts: a compound for three of five, shared by parts of one brand and size of 40 and more,
+# another ChEBI identifier for some, nothing at all for some.
+_KNOWN = """(SELECT 'CHEBI:' || p_partkey AS curie, CASE WHEN p_partkey % 5 < 3 THEN 'PUBCHEM.COMPOUND:' || CASE WHEN p_size >= 40 THEN p_brand || p_size ELSE CAST(p_partkey AS VARCHAR) END END AS pubchem,
+    CASE WHEN p_partkey % 7 = 0 THEN 'CHEBI:x' || p_partkey WHEN p_partkey % 5 = 4 THEN NULL ELSE 'CHEBI:' || p_partkey END AS chebi FROM part WHERE p_partkey % 11 <> 0)"""
+
+
+@query(f"""WITH s AS (SELECT p_partkey, CASE WHEN p_partkey % 13 = 0 THEN p_name || ' ' || p_partkey ELSE 'chebi:' || p_partkey END AS source, CASE WHEN p_partkey % 13 <> 0 THEN 'CHEBI:' || p_partkey END AS asked FROM part),
+    f AS (SELECT source, asked, pubchem, chebi, CASE WHEN asked IS NULL THEN source WHEN curie IS NOT NULL AND p_partkey % 17 = 0 THEN source ELSE coalesce(pubchem, chebi, asked) END AS chosen,
+      CASE WHEN asked IS NULL THEN 'NO-ID' WHEN curie IS NULL THEN 'UNRESOLVED' WHEN p_partkey % 17 = 0 THEN 'OVERRIDE' WHEN chebi <> asked THEN 'CHEBI-DRIFT' WHEN pubchem IS NOT NULL THEN 'OK' WHEN chebi IS NOT NULL THEN 'NO-CID' ELSE 'UNRESOLVED' END AS flag
+      FROM s LEFT JOIN {_KNOWN} k ON k.curie = s.asked),
+    g AS (SELECT chosen, string_agg(source, ' ' ORDER BY source) AS all_, count(*) AS n FROM f WHERE flag NOT IN ('UNRESOLVED', 'NO-ID') GROUP BY 1 HAVING count(*) > 1),
+    r AS (SELECT source, f.chosen, CASE WHEN n IS NOT NULL THEN 'COLLISION' ELSE flag END AS flag, n FROM f LEFT JOIN g ON g.chosen = f.chosen AND flag NOT IN ('UNRESOLVED', 'NO-ID'))
+    SELECT source, chosen, flag, CAST(coalesce(n - 1, 0) AS BIGINT) AS others, CASE flag WHEN 'COLLISION' THEN 1 WHEN 'CHEBI-DRIFT' THEN 2 WHEN 'OVERRIDE' THEN 3 WHEN 'NO-CID' THEN 4 WHEN 'OK' THEN 5 WHEN 'UNRESOLVED' THEN 6 ELSE 7 END AS severity FROM r""")
 def clique_flags(spark, d):
-    flag = F.when(F.col("p_size").isNull(), "NO-ID").when(F.col("p_size") < 10, "OK").when(F.col("p_size") < 30, "NO-CID").otherwise("UNRESOLVED")
-    severity = F.array_position(F.array(*[F.lit(x) for x in ("UNRESOLVED", "NO-ID", "NO-CID", "OK")]), F.col("flag")).cast("int")
-    parts = _table(spark, d, "part").withColumn("flag", flag)
-    many = parts.groupBy("p_brand", "flag").agg((F.count("*") > 1).alias("collides"))
-    return parts.join(many, ["p_brand", "flag"]).select("p_partkey", "flag", severity.alias("severity"), "collides")
+    k, text = F.col("p_partkey"), F.col("p_partkey").cast("string")
+    parts = _table(spark, d, "part")
+    nodes = parts.select(F.lit("p").alias("net"), F.when(k % 13 != 0, F.concat(F.lit("chebi:"), text)).alias("represents"), F.concat("p_name", F.lit(" "), text).alias("name"))
+    pubchem = F.when(k % 5 < 3, F.concat(F.lit("PUBCHEM.COMPOUND:"), F.when(F.col("p_size") >= 40, F.concat("p_brand", F.col("p_size").cast("string"))).otherwise(text)))
+    chebi = F.when(k % 7 == 0, F.concat(F.lit("CHEBI:x"), text)).when(k % 5 != 4, F.concat(F.lit("CHEBI:"), text))
+    known = parts.where("p_partkey % 11 <> 0").select(F.concat(F.lit("CHEBI:"), text).alias("curie"), F.lit(None).cast("string").alias("label"), F.filter(F.array(chebi, pubchem), lambda x: x.isNotNull()).alias("clique"))
+    # Kept identifiers are a table of people's decisions; here every seventeenth.
+    keep = [f"chebi:{r[0]}" for r in parts.where("p_partkey % 17 = 0").select("p_partkey").collect()]
+    found = C.review(C.profile(nodes), known, keep)
+    return found.select("source", "chosen", "flag", F.coalesce(F.size("collides_with"), F.lit(0)).cast("bigint").alias("others"), C.severity(F.col("flag")).cast("int").alias("severity"))
 
 
 @query("""SELECT coalesce(a.k, b.k) AS custkey, CASE WHEN a.k IS NULL THEN 'right' WHEN b.k IS NULL THEN 'left' ELSE 'both' END AS side
@@ -325,21 +344,21 @@ def rejects_report(spark, d):
 
 @query("SELECT event_type AS route, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM events), 4) AS share FROM events GROUP BY 1")
 def route_histogram(spark, d):
-    e = _table(spark, d, "events")
-    return e.groupBy(F.col("event_type").alias("route")).agg(F.count("*").alias("n")).crossJoin(F.broadcast(e.agg(F.count("*").alias("_all")))).select("route", "n", F.round(100.0 * F.col("n") / F.col("_all"), 4).alias("share"))
+    found = resolve.with_shares(_table(spark, d, "events").withColumnRenamed("event_type", "route"), ["route"])
+    return found.select("route", "n", F.round("share", 4).alias("share"))
 
 
-@query("SELECT n_nationkey, CAST((row_number() OVER (ORDER BY n_name) - 1) // 10 AS BIGINT) AS batch FROM nation")
+@query("SELECT o_orderkey, CAST((row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1) // 1000 AS BIGINT) AS batch FROM orders")
 def batch_numbers(spark, d):
-    at = F.row_number().over(W.orderBy("n_name")) - 1
-    return _table(spark, d, "nation").select("n_nationkey", F.floor(at / 10).cast("bigint").alias("batch"))
+    return positions.batches(_table(spark, d, "orders").select("o_orderkey", "o_totalprice"), ["o_totalprice", "o_orderkey"], 1000).select("o_orderkey", "batch")
 
 
-@query("""WITH n AS (SELECT n_nationkey, row_number() OVER (ORDER BY n_nationkey) - 1 AS i, count(*) OVER () AS c FROM nation)
-    SELECT n_nationkey, round(100 * cos(2 * pi() * i / c), 6) AS ring_x, round(100 * sin(2 * pi() * i / c), 6) AS ring_y, CAST(i % CAST(floor(sqrt(c)) AS BIGINT) AS BIGINT) AS x, CAST(i // CAST(floor(sqrt(c)) AS BIGINT) AS BIGINT) AS y FROM n""")
+@query("""WITH n AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS i, count(*) OVER () AS c FROM customer)
+    SELECT c_custkey, round(5 + 100 * cos(2 * pi() * i / c), 6) AS ring_x, round(7 + 100 * sin(2 * pi() * i / c), 6) AS ring_y, CAST(30.0 * (i % CAST(floor(sqrt(c)) AS BIGINT)) AS DOUBLE) AS x, CAST(30.0 * (i // CAST(floor(sqrt(c)) AS BIGINT)) AS DOUBLE) AS y FROM n""")
 def ring_and_grid_layout(spark, d):
-    ring = select.ring_layout(_table(spark, d, "nation").select("n_nationkey"), "n_nationkey", 100.0).withColumnsRenamed({"x": "ring_x", "y": "ring_y"})
-    return select.grid_layout(ring, "n_nationkey")
+    ring = positions.ring_layout(_table(spark, d, "customer").select("c_custkey"), ["c_custkey"], 100.0, (5.0, 7.0))
+    ring = ring.select("c_custkey", *[F.round(c, 6).alias(f"ring_{c}") for c in ("x", "y")])
+    return positions.grid_layout(ring, ["c_custkey"], 30.0)
 
 
 @query("""SELECT '<http://x.org/c/' || c_custkey || '> <http://www.w3.org/2000/01/rdf-schema#label> "' || c_name || '" .' AS value FROM customer
@@ -357,11 +376,6 @@ def audit_counts(spark, d):
     return _facts(spark, d).agg(F.count("*").alias("facts"), F.count_distinct("subject").alias("subjects"), F.count_distinct(F.when(F.col("object") % 2 == 0, F.col("object"))).alias("even_objects"), F.count_if(~F.col("l_returnflag").startswith("R")).alias("kept"))
 
 
-@query(f"SELECT subject, object FROM {_F} WHERE n IS NULL")
-def empty_type_test(spark, d):
-    return _facts(spark, d).where("n IS NULL").select("subject", "object")
-
-
 @query(f"SELECT object AS partner, subject, CAST(max(n) AS BIGINT) AS most, CAST(sum(n) AS BIGINT) AS total FROM {_F} WHERE l_returnflag = 'A' GROUP BY 1, 2")
 def pair_evidence(spark, d):
     return _facts(spark, d).where("l_returnflag = 'A'").groupBy(F.col("object").alias("partner"), "subject").agg(F.max("n").alias("most"), F.sum("n").alias("total"))
@@ -369,12 +383,12 @@ def pair_evidence(spark, d):
 
 @query("SELECT event_id, event_type FROM events WHERE lower(event_type) IN ('click', 'view')")
 def type_set_filter(spark, d):
-    return _table(spark, d, "events").where(F.lower("event_type").isin("click", "view")).select("event_id", "event_type")
+    return select.of_types(_table(spark, d, "events"), "event_type", ["Click", "VIEW"]).select("event_id", "event_type")
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderstatus NOT IN ('P', 'F')")
 def flag_exclusion(spark, d):
-    return _table(spark, d, "orders").where(~F.col("o_orderstatus").isin("P", "F")).select("o_orderkey")
+    return select.without_flags(_table(spark, d, "orders"), "o_orderstatus", ["P", "F"]).select("o_orderkey")
 
 
 @query("SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')")
@@ -383,12 +397,6 @@ def resume_skip(spark, d):
     return resolve.rejects(_table(spark, d, "orders"), done, "o_orderkey", "l_orderkey").select("o_orderkey")
 
 
-@query("SELECT l_orderkey, string_agg(l_partkey || ':' || l_linenumber, ',' ORDER BY l_partkey, l_linenumber) AS members FROM lineitem GROUP BY 1")
-def exploded_members(spark, d):
-    pairs = F.array_sort(F.collect_list(F.struct("l_partkey", "l_linenumber")))
-    return _table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.transform(pairs, lambda x: F.concat(x["l_partkey"].cast("string"), F.lit(":"), x["l_linenumber"].cast("string"))), ",").alias("members"))
-
-
 @query("SELECT p_brand, count(DISTINCT p_type) AS types, count(*) AS n, min(p_size) AS least, max(p_size) AS most, (min(p_size) + max(p_size)) / 2.0 AS centre FROM part GROUP BY 1")
 def id_profile(spark, d):
     return _table(spark, d, "part").groupBy("p_brand").agg(F.count_distinct("p_type").alias("types"), F.count("*").alias("n"), F.min("p_size").alias("least"), F.max("p_size").alias("most"), ((F.min("p_size") + F.max("p_size")) / 2.0).cast("double").alias("centre"))
@@ -397,8 +405,7 @@ def id_profile(spark, d):
 @query("SELECT p_partkey, CASE WHEN count(*) OVER (PARTITION BY p_type) > 1 THEN p_type || '_' || p_partkey ELSE p_type END AS name FROM part")
 def disambiguate_names(spark, d):
     parts = _table(spark, d, "part").select("p_partkey", "p_type")
-    many = parts.groupBy("p_type").agg((F.count("*") > 1).alias("_m"))
-    return parts.join(many, "p_type").select("p_partkey", F.when(F.col("_m"), F.concat("p_type", F.lit("_"), "p_partkey")).otherwise(F.col("p_type")).alias("name"))
+    return resolve.disambiguated(parts, "p_type", F.col("p_partkey").cast("string"), "name").select("p_partkey", "name")
 
 
 @query("SELECT n_nationkey AS key, 'left' AS side FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_nationkey < 20) UNION ALL SELECT DISTINCT c_nationkey, 'right' FROM customer WHERE c_nationkey >= 20 AND c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey < 22)")
@@ -408,30 +415,24 @@ def symbol_difference(spark, d):
     return left.union(c.where("key >= 20").join(n.where("key < 22"), "key", "left_anti").distinct().withColumn("side", F.lit("right")))
 
 
-@query("SELECT v AS verb, CASE WHEN v = 'ras binds raf' THEN 'Complex' WHEN v = 'A Increases the amount of B' THEN 'IncreaseAmount' END AS kind FROM (VALUES ('ras binds raf'), ('A Increases the amount of B'), ('x touches y')) t(v)")
+@query("""SELECT event_id, CASE event_type WHEN 'click' THEN 'Complex' WHEN 'view' THEN 'IncreaseAmount' END AS kind, CASE WHEN event_type IN ('click', 'view') THEN 'u' || user_id END AS subject,
+    CASE WHEN event_type IN ('click', 'view') THEN 'e' || event_id END AS object FROM events""")
 def verb_text_parse(spark, d):
-    rows = _values(spark, "verb string", [("ras binds raf",), ("A Increases the amount of B",), ("x touches y",)])
-    return rows.select("verb", E.text_relation(F.col("verb"))["kind"].alias("kind"))
-
-
-@query(f"SELECT '{I.BASE}statement_7_0' AS statement, 'Apoptosis' AS pathway, '{I.BASE}entity/a-b' AS entity, true AS bare, 'a_b c' AS file, 'say \\\"x\\\"\\n' AS literal")
-def literal_ids(spark, d):
-    v = F.lit
-    return _values(spark, "x int", [(1,)]).select(
-        I.statement_iri(v(I.BASE), v(7), v(0)).alias("statement"), I.clean_pathway_name(v("Apoptosis _v2_0_")).alias("pathway"), I.entity_iri(v("a b")).alias("entity"), I.is_bare(v("ETS")).alias("bare"),
-        I.safe_file_name(v("..a/b  c")).alias("file"), I.escape_literal(v('say "x"\n')).alias("literal"),
-    )
+    verb = F.when(F.col("event_type") == "click", " binds  ").when(F.col("event_type") == "view", " Increases the amount of ").when(F.col("event_type") == "purchase", " touches ").otherwise(" binds the ")
+    rows = _table(spark, d, "events").select("event_id", E.text_relation(F.concat(F.lit("u"), "user_id", verb, F.lit("e"), "event_id")).alias("r"))
+    return rows.select("event_id", "r.kind", "r.subject", "r.object")
 
 
-@query("""SELECT 'nodes' AS family, (SELECT count(*) FROM customer) + (SELECT count(*) FROM supplier) AS n UNION ALL SELECT 'edges', count(*) FROM lineitem UNION ALL SELECT 'pathways', count(*) FROM orders""")
-def volume_report(spark, d):
-    count = lambda t, name: _table(spark, d, t).agg(F.count("*").alias("n")).select(F.lit(name).alias("family"), "n")
-    return count("customer", "nodes").union(count("supplier", "nodes")).union(count("lineitem", "edges")).union(count("orders", "pathways")).groupBy("family").agg(F.sum("n").alias("n"))
+#: Modules that register more queries.
+_MORE = ("graph_queries", "merge_queries", "term_queries")
 
 
-def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+def queries() -> dict[str, registry.Query]:
+    for name in _MORE:
+        importlib.import_module(f"graphspark.plans.{name}")
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    queries()
+    return dict(registry.ORACLE)

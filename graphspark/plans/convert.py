@@ -2,80 +2,165 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from graphspark.functions import chemicals as C
 from graphspark.functions import identifiers as I
-from graphspark.functions.evidence import RO, predicate_iri, process_iri, relations
+from graphspark.functions.evidence import RO, exploded, predicate_iri, process_iri
 from graphspark.sources.cx2 import Networks
 
+# Predicates, classes and types of nodes and edges that conversion knows.
 HAS_MEMBER, PARTICIPATES = f"{RO}0002351", f"{RO}0000056"
-GENE_FAMILY, PATHWAY = "https://w3id.org/biolink/vocab/GeneFamily", "https://w3id.org/biolink/vocab/Pathway"
+GENE_FAMILY, PATHWAY, PW_PATHWAY = "https://w3id.org/biolink/vocab/GeneFamily", "https://w3id.org/biolink/vocab/Pathway", f"{I.OBO}PW_0000001"
+BIOLINK, PW = "https://w3id.org/biolink/vocab/", f"{I.OBO}PW_"
+FAMILY_TYPE, PATHWAY_TYPE, CHEMICAL_TYPE, MEMBERSHIP = "proteinfamily", "pathway", "smallmolecule", "participates in"
+RDF, RDFS, OWL, SKOS = (I.STANDARD_PREFIXES[p] for p in ("rdf", "rdfs", "owl", "skos"))
+
+
+@dataclass(frozen=True)
+class Places:
+    """Where minted identifiers and the graph's own terms live."""
+
+    base: str = I.BASE
+    vocabulary: str = I.VOCABULARY
+
+    def prefixes(self) -> dict[str, str]:
+        return I.own_prefixes(self.base, self.vocabulary)
 
 
 @dataclass
 class Graph:
-    """entities (net, iri, label, class, same_as), triples (net, s, p, o), statements (net, stmt, s, p, o, evidence_count,
-    evidence_url, process_type, in_pathways)."""
+    """entities (net, ord, iri, label, class, same_as, exact_match), triples (net, s, p, o), statements (net, stmt, s, p, o,
+    evidence_count, evidence_url, process_type, in_pathways), axioms (net, s, p, o), rejects (net, kind, id, reason)."""
 
     entities: DataFrame
     triples: DataFrame
     statements: DataFrame
+    axioms: DataFrame
+    rejects: DataFrame
+    places: Places = field(default_factory=Places)
 
 
-def prefixes(context: Column) -> Column:
-    """Registry stems below the network's context, below the standard prefixes; a context prefix that the registry knows
-    takes the registry's stem."""
+def prefixes(context: Column, places: Places = Places()) -> Column:
+    """Registry stems below the network's context, below the standard prefixes; a context prefix that the registry knows, in
+    this very case, takes the registry's stem."""
     registry = I.literal_map(I.REGISTRY_PREFIXES)
-    own = F.transform(F.coalesce(F.map_entries(context), F.array().cast("array<struct<key:string,value:string>>")), lambda e: F.struct(e["key"].alias("key"), F.coalesce(F.try_element_at(registry, F.lower(e["key"])), e["value"]).alias("value")))
-    standard = I.literal_map(I.STANDARD_PREFIXES)
+    own = F.transform(F.coalesce(F.map_entries(context), F.array().cast("array<struct<key:string,value:string>>")), lambda e: F.struct(e["key"].alias("key"), F.coalesce(F.try_element_at(registry, e["key"]), e["value"]).alias("value")))
+    standard = I.literal_map(places.prefixes())
     mine = F.filter(own, lambda e: ~F.array_contains(F.map_keys(standard), e["key"]))
     floor = F.filter(F.map_entries(registry), lambda e: ~F.exists(mine, lambda x: x["key"] == e["key"]))
     return F.map_from_entries(F.concat(floor, F.array_distinct(mine), F.map_entries(standard)))
 
 
-def resolved_nodes(nets: Networks) -> DataFrame:
-    """net, ord, id, name, iri, kind (family, pathway, ordinary), class, members, aliases of the nodes that can be identified."""
+def prefix_rows(places: Places, pathways: bool, families: bool) -> list[tuple[str, str]]:
+    """The prefixes of an output in the order in which they are tried: what is more specific comes first, and the prefixes
+    for pathways and families are there only where the output has such nodes."""
+    out: list[tuple[str, str]] = []
+    for name, iri in places.prefixes().items():
+        if name == "obo" and pathways:
+            out.append(("PW", PW))
+        if iri == places.base:
+            out += [(kind, f"{places.base}{kind}/") for kind, wanted in (("pathway", pathways), ("family", families)) if wanted]
+        out.append((name, iri))
+        if name == "SIO" and (pathways or families):
+            out.append(("biolink", BIOLINK))
+    return out
+
+
+def _texts(raw: Column) -> Column:
+    """The strings of a JSON array; other elements are left out, and what is no array has none."""
+    strings = F.filter(F.from_json(raw, "array<variant>"), lambda x: F.schema_of_variant(x) == "STRING")
+    return F.coalesce(F.transform(strings, lambda x: x.cast("string")), F.array().cast("array<string>"))
+
+
+def classified(nets: Networks, places: Places = Places()) -> DataFrame:
+    """The nodes with their prefixes, kind (family, pathway, ordinary), name, represents, members and aliases, and reason: why
+    a node cannot be identified, null if it can."""
     v, kind = F.col("v"), F.lower(F.col("v")["type"])
-    name, represents = F.nullif(I.trimmed(v["name"]), F.lit("")), F.nullif(v["represents"], F.lit(""))
-    nodes = nets.nodes.join(nets.networks.select("net", prefixes(F.col("context")).alias("_p")), "net").withColumns({
-        "name": name, "_r": represents, "kind": F.when(kind == "proteinfamily", "family").when(kind == "pathway", "pathway").otherwise("ordinary"),
-        "members": F.coalesce(F.from_json(v["member"], "array<string>"), F.array().cast("array<string>")),
-        "aliases": F.coalesce(F.from_json(v["alias"], "array<string>"), F.array().cast("array<string>")),
+    nodes = nets.nodes.join(nets.networks.select("net", prefixes(F.col("context"), places).alias("prefixes")), "net")
+    nodes = nodes.withColumns({
+        "kind": F.when(kind == FAMILY_TYPE, "family").when(kind == PATHWAY_TYPE, "pathway").otherwise("ordinary"),
+        "name": F.nullif(v["name"], F.lit("")), "represents": F.nullif(v["represents"], F.lit("")), "members": _texts(v["member"]), "aliases": _texts(v["alias"]),
+    })
+    reason = F.when((F.col("kind") != "ordinary") & F.col("name").isNull(), "no name").when((F.col("kind") == "ordinary") & F.col("represents").isNull(), "no identifier")
+    return nodes.withColumn("reason", reason)
+
+
+def resolved_nodes(nets: Networks, places: Places = Places(), chemicals: DataFrame | None = None, marked: DataFrame | None = None) -> DataFrame:
+    """net, ord, id, name, iri, kind, class, members, same_as, exact_match of the nodes that can be identified.
+
+    A small molecule takes the IRI that ``chemicals`` (source, iri, exact) chose for its identifier, compared in its exact
+    spelling, and is matched with that identifier and its counterparts. Without the argument the built-in table is taken.
+    """
+    nodes = (classified(nets, places) if marked is None else marked).where(F.col("reason").isNull())
+    table = C.chosen(nodes.sparkSession) if chemicals is None else chemicals
+    # One row for each small molecule of the table: bounded by a review's table, not by the networks.
+    table = table.select(F.col("source").alias("_source"), F.col("iri").alias("_chosen"), F.col("exact").alias("_exact"))
+    molecule = F.lower(F.col("v")["type"]) == CHEMICAL_TYPE
+    nodes = nodes.join(table, molecule & (F.col("represents") == F.col("_source")), "left")
+    p, r, name = F.col("prefixes"), F.col("represents"), F.col("name")
+    trimmed = I.trimmed(r)
+    pathway = F.when(I.is_resolvable(trimmed, p), I.expand(trimmed, p)).otherwise(I.pathway_iri(F.col("v")["uuid"], name, places.base))
+    ordinary = F.when(F.col("_chosen").isNotNull(), F.col("_chosen")).when(I.is_bare(r), I.entity_iri(r, places.base)).otherwise(I.expand(r, p))
+    kind = F.col("kind")
+    exact = F.array_except(F.array_distinct(F.concat("_exact", F.array(I.expand(r, p)))), F.array("_chosen"))
+    # An alias that repeats the identifier, in its exact spelling, says nothing.
+    aliases = F.filter("aliases", lambda a: a != F.when(F.col("_chosen").isNotNull() | I.is_bare(r), F.col("iri")).otherwise(r))
+    found = nodes.withColumns({
+        "iri": F.when(kind == "family", I.family_iri(name, F.col("members"), places.base)).when(kind == "pathway", pathway).otherwise(ordinary),
+        "class": F.when(kind == "family", GENE_FAMILY).when(kind == "pathway", PATHWAY).otherwise(I.type_class(F.col("v")["type"], r)),
+        "label": F.when(kind == "pathway", I.clean_pathway_name(name)).otherwise(name),
+        "members": F.transform("members", lambda m: I.expand(m, p)), "exact_match": F.when(F.col("_chosen").isNotNull(), exact),
     })
-    p = F.col("_p")
-    known = F.col("_r").startswith("http") | (~I.is_bare(F.col("_r")) & I.resolve_prefix(I.prefix_of(F.col("_r")), p).isNotNull())
-    pathway = F.when(known, I.expand(F.col("_r"), p)).otherwise(I.pathway_iri(v["uuid"], name))
-    ordinary = F.when(I.is_bare(F.col("_r")), I.entity_iri(F.col("_r"))).otherwise(I.expand(F.col("_r"), p))
-    iri = F.when(F.col("kind") == "family", F.when(name.isNotNull(), I.family_iri(name, F.col("members")))).when(F.col("kind") == "pathway", F.when(name.isNotNull(), pathway)).otherwise(ordinary)
-    class_ = F.when(F.col("kind") == "family", GENE_FAMILY).when(F.col("kind") == "pathway", PATHWAY).otherwise(I.type_class(v["type"], F.col("_r")))
-    found = nodes.withColumns({"iri": iri, "class": class_, "members": F.transform("members", lambda m: I.expand(m, p)), "aliases": F.transform("aliases", lambda a: I.expand(a, p))})
-    return found.where(F.col("iri").isNotNull()).select("net", "ord", "id", "name", "iri", "kind", "class", "members", "aliases")
+    found = found.withColumn("same_as", F.when(kind == "ordinary", F.transform(aliases, lambda a: I.expand(a, p))))
+    return found.select("net", "ord", "id", "name", "label", "iri", "kind", "class", "members", "same_as", "exact_match")
 
 
-def convert(nets: Networks) -> Graph:
-    """All networks at once; every record keeps the network that it comes from."""
-    nodes = resolved_nodes(nets)
-    first = F.row_number().over(W.partitionBy("net", "name").orderBy("ord"))
-    by_name = nodes.where(F.col("name").isNotNull()).withColumn("_k", first).where("_k = 1").select("net", F.col("name").alias("_name"), F.col("iri").alias("_by"))
-    ids = nodes.select("net", F.col("id").alias("_id"), F.col("iri").alias("_iri"), F.col("kind").alias("_kind"))
-    ends = nets.edges
+def merged_entities(nodes: DataFrame) -> DataFrame:
+    """net, ord, iri, label, class, same_as, exact_match: one row for each IRI of a network.
+
+    The first node's class counts, even where it is null, and its matches; the label is the first that is not empty; aliases
+    are gathered in the order in which they come.
+    """
+    first = nodes.groupBy("net", "iri").agg(
+        F.min("ord").alias("ord"), F.min_by(F.struct("class", "exact_match"), "ord").alias("_f"), F.min_by("label", F.when(F.col("label").isNotNull(), F.col("ord"))).alias("label")
+    )
+    # By alias its first place: what is gathered for an entity is bounded by its distinct aliases.
+    each = nodes.select("net", "iri", "ord", F.posexplode("same_as").alias("_i", "_a")).groupBy("net", "iri", "_a").agg(F.min(F.struct("ord", "_i")).alias("_at"))
+    aliases = each.groupBy("net", "iri").agg(F.transform(F.array_sort(F.collect_list(F.struct("_at", "_a"))), lambda x: x["_a"]).alias("same_as"))
+    empty = F.array().cast("array<string>")
+    return first.join(aliases, ["net", "iri"], "left").select("net", "ord", "iri", "label", F.col("_f.class").alias("class"), F.coalesce("same_as", empty).alias("same_as"), F.coalesce("_f.exact_match", empty).alias("exact_match"))
+
+
+def _ends(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``edges`` with s_iri, s_kind, t_iri and t_kind; null where an end cannot be identified."""
+    ids = nodes.select(F.col("net").alias("_net"), F.col("id").alias("_id"), F.col("iri").alias("_iri"), F.col("kind").alias("_kind"))
     for side in ("s", "t"):
-        one = ids.select(F.col("net").alias("_net"), "_id", F.col("_iri").alias(f"{side}_iri"), F.col("_kind").alias(f"{side}_kind"))
-        ends = ends.join(one, (F.col("net") == F.col("_net")) & (F.col(side) == F.col("_id"))).drop("_net", "_id")
-    member = F.lower(F.col("v")["interaction"]) == "participates in"
-    in_pathway = ends.where(member & ((F.col("s_kind") == "pathway") | (F.col("t_kind") == "pathway")))
-    from_pathway = F.col("s_kind") == "pathway"
+        edges = edges.join(ids, (F.col("net") == F.col("_net")) & (F.col(side) == F.col("_id")), "left").drop("_net", "_id").withColumnsRenamed({"_iri": f"{side}_iri", "_kind": f"{side}_kind"})
+    return edges
+
+
+def convert(nets: Networks, places: Places = Places(), chemicals: DataFrame | None = None) -> Graph:
+    """All networks at once; every record keeps the network that it comes from."""
+    marked = classified(nets, places)
+    nodes = resolved_nodes(nets, places, chemicals, marked)
+    by_name = nodes.where(F.col("name").isNotNull()).groupBy("net", F.col("name").alias("_name")).agg(F.min_by("iri", "ord").alias("_by"))
+    every = _ends(nets.edges, nodes)
+    ends = every.where(F.col("s_iri").isNotNull() & F.col("t_iri").isNotNull())
+    member = F.coalesce(F.col("v")["interaction"] == MEMBERSHIP, F.lit(False))
+    # Membership runs either way round; a source that is a pathway is the pathway.
+    from_pathway = F.coalesce(F.col("s_kind") == "pathway", F.lit(False))
+    in_pathway = ends.where(member & (from_pathway | F.coalesce(F.col("t_kind") == "pathway", F.lit(False))))
     memberships = in_pathway.select("net", F.when(from_pathway, F.col("t_iri")).otherwise(F.col("s_iri")).alias("s"), F.when(from_pathway, F.col("s_iri")).otherwise(F.col("t_iri")).alias("o")).distinct()
-    items = ends.where(~F.coalesce(member, F.lit(False))).select("net", "id", "s_iri", "t_iri", F.posexplode(relations(F.col("v")["Relationships"])).alias("i", "r"))
-    for side, end, field in (("s", "s_iri", "subject"), ("o", "t_iri", "object")):
+    items = exploded(ends.where(~member), F.col("v")["Relationships"], "net", "id", "s_iri", "t_iri")
+    for side, end, name in (("s", "s_iri", "subject"), ("o", "t_iri", "object")):
         named = by_name.select(F.col("net").alias("_net"), "_name", "_by")
-        items = items.join(named, (F.col("net") == F.col("_net")) & (F.col(f"r.{field}") == F.col("_name")), "left").withColumn(side, F.coalesce("_by", end)).drop("_net", "_name", "_by")
+        items = items.join(named, (F.col("net") == F.col("_net")) & (F.col(f"r.{name}") == F.col("_name")), "left").withColumn(side, F.coalesce("_by", end)).drop("_net", "_name", "_by")
     facts = items.where(F.col("s") != F.col("o")).select(
-        "net", I.statement_iri(F.lit(I.BASE), F.col("id"), F.col("i")).alias("stmt"), "s", predicate_iri(F.col("r.kind")).alias("p"), "o", F.col("r.n").alias("evidence_count"), F.col("r.url").alias("evidence_url"), process_iri(F.col("r.kind")).alias("process_type")
+        "net", I.statement_iri(F.lit(places.base), F.col("id"), F.col("i")).alias("stmt"), "s", predicate_iri(F.col("r.kind")).alias("p"), "o", F.col("r.n").alias("evidence_count"), F.col("r.url").alias("evidence_url"), process_iri(F.col("r.kind")).alias("process_type")
     )
     paths = memberships.groupBy("net", "s").agg(F.collect_set("o").alias("_paths"))
     statements = facts
@@ -86,34 +171,53 @@ def convert(nets: Networks) -> Graph:
     statements = statements.withColumn("in_pathways", shared).drop("_s", "_o")
     family = nodes.where("kind = 'family'").select("net", F.col("iri").alias("s"), F.lit(HAS_MEMBER).alias("p"), F.explode("members").alias("o"))
     triples = facts.select("net", "s", "p", "o").unionByName(memberships.select("net", "s", F.lit(PARTICIPATES).alias("p"), "o")).unionByName(family).distinct()
-    merged = nodes.groupBy("net", "iri").agg(
-        F.min_by(F.struct("class"), "ord")["class"].alias("class"), F.min_by("name", F.when(F.col("name").isNotNull(), F.col("ord"))).alias("label"), F.array_distinct(F.flatten(F.collect_list("aliases"))).alias("_a")
+    kind = F.when(F.col("kind") == "ordinary", "node").otherwise(F.col("kind"))
+    rejects = marked.where(F.col("reason").isNotNull()).select("net", kind.alias("kind"), "id", "reason").unionByName(
+        every.where(F.col("s_iri").isNull() | F.col("t_iri").isNull()).select("net", F.lit("edge").alias("kind"), "id", F.lit("an end is not identified").alias("reason"))
     )
-    entities = merged.select("net", "iri", "label", "class", F.array_sort(F.filter("_a", lambda a: a != F.col("iri"))).alias("same_as"))
-    return Graph(entities, triples, statements)
+    return Graph(merged_entities(nodes), triples, statements, axioms(nodes, places), rejects, places)
+
+
+def axioms(nodes: DataFrame, places: Places = Places()) -> DataFrame:
+    """(net, s, p, o): what the schema says of pathways, once for each network that has a pathway node."""
+    inside = f"{places.vocabulary}inPathway"
+    stated = [(PATHWAY, f"{OWL}equivalentClass", PW_PATHWAY), (inside, f"{RDF}type", f"{OWL}ObjectProperty"), (inside, f"{RDFS}domain", f"{RDF}Statement"), (inside, f"{RDFS}range", PATHWAY)]
+    rows = F.array(*[F.struct(F.lit(s).alias("s"), F.lit(p).alias("p"), F.lit(o).alias("o")) for s, p, o in stated])
+    return nodes.where("kind = 'pathway'").select("net").distinct().select("net", F.explode(rows).alias("_x")).select("net", "_x.*")
+
+
+def exploded_facts(df: DataFrame, subject: str, facts: list[tuple[str, Column, str]], *keep: str) -> DataFrame:
+    """``keep``, s, i, p, o and kind: a row for each of ``facts`` (predicate, object, kind) whose object is not null, which
+    is how a property that not every subject has is left out."""
+    listed = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p"), o.cast("string").alias("o"), F.lit(k).alias("kind")) for i, (p, o, k) in enumerate(facts)])
+    return df.select(*keep, F.col(subject).alias("s"), F.explode(listed).alias("_x")).select(*keep, "s", "_x.*").where(F.col("o").isNotNull())
 
 
 def triples_of(graph: Graph) -> DataFrame:
     """Every triple of the graph as net, s, p, o and kind (iri, string, integer)."""
-    rdf, rdfs, owl = (I.STANDARD_PREFIXES[p] for p in ("rdf", "rdfs", "owl"))
-    e, st = graph.entities, graph.statements
-
-    def rows(df: DataFrame, subject: str, *facts: tuple[str, Column, str]) -> DataFrame:
-        listed = F.array(*[F.struct(F.lit(p).alias("p"), o.cast("string").alias("o"), F.lit(k).alias("kind")) for p, o, k in facts])
-        return df.select("net", F.col(subject).alias("s"), F.explode(F.filter(listed, lambda x: x["o"].isNotNull())).alias("_x")).select("net", "s", "_x.*")
-
-    about = rows(e, "iri", (f"{rdf}type", F.col("class"), "iri"), (f"{rdfs}label", F.col("label"), "string"))
-    same = e.select("net", F.col("iri").alias("s"), F.lit(f"{owl}sameAs").alias("p"), F.explode("same_as").alias("o"), F.lit("iri").alias("kind"))
-    reified = rows(
-        st, "stmt", (f"{rdf}type", F.lit(f"{rdf}Statement"), "iri"), (f"{rdf}subject", F.col("s"), "iri"), (f"{rdf}predicate", F.col("p"), "iri"), (f"{rdf}object", F.col("o"), "iri"),
-        (f"{I.VOCABULARY}evidenceCount", F.col("evidence_count"), "integer"), (f"{I.VOCABULARY}evidenceUrl", F.col("evidence_url"), "iri"), (f"{I.VOCABULARY}processType", F.col("process_type"), "iri"),
-    )
-    within = st.select("net", F.col("stmt").alias("s"), F.lit(f"{I.VOCABULARY}inPathway").alias("p"), F.explode("in_pathways").alias("o"), F.lit("iri").alias("kind"))
-    direct = graph.triples.withColumn("kind", F.lit("iri"))
-    return about.unionByName(same).unionByName(direct).unionByName(reified).unionByName(within)
+    e, st, own = graph.entities, graph.statements, graph.places.vocabulary
+    about = exploded_facts(e, "iri", [(f"{RDF}type", F.col("class"), "iri"), (f"{RDFS}label", F.nullif("label", F.lit("")), "string")], "net").drop("i")
+    iri = F.lit("iri").alias("kind")
+    same = e.select("net", F.col("iri").alias("s"), F.lit(f"{OWL}sameAs").alias("p"), F.explode("same_as").alias("o"), iri)
+    match = e.select("net", F.col("iri").alias("s"), F.lit(f"{SKOS}exactMatch").alias("p"), F.explode("exact_match").alias("o"), iri)
+    reified = exploded_facts(
+        st, "stmt", [(f"{RDF}type", F.lit(f"{RDF}Statement"), "iri"), (f"{RDF}subject", F.col("s"), "iri"), (f"{RDF}predicate", F.col("p"), "iri"), (f"{RDF}object", F.col("o"), "iri"),
+        (f"{own}evidenceCount", F.col("evidence_count"), "integer"), (f"{own}evidenceUrl", F.col("evidence_url"), "iri"), (f"{own}processType", F.col("process_type"), "iri")], "net",
+    ).drop("i")
+    within = st.select("net", F.col("stmt").alias("s"), F.lit(f"{own}inPathway").alias("p"), F.explode("in_pathways").alias("o"), iri)
+    direct = graph.triples.unionByName(graph.axioms).distinct().withColumn("kind", F.lit("iri"))
+    return about.unionByName(same).unionByName(match).unionByName(direct).unionByName(reified).unionByName(within)
 
 
 def ntriples(triples: DataFrame) -> DataFrame:
-    """One line a triple, in a column named value."""
-    o = F.when(F.col("kind") == "iri", F.concat(F.lit("<"), I.safe_iri(F.col("o")), F.lit(">"))).when(F.col("kind") == "integer", F.concat(F.lit('"'), F.col("o"), F.lit(f'"^^<{I.STANDARD_PREFIXES["xsd"]}integer>'))).otherwise(F.concat(F.lit('"'), I.escape_literal(F.col("o")), F.lit('"')))
-    return triples.select(F.concat(F.lit("<"), I.safe_iri(F.col("s")), F.lit("> <"), F.col("p"), F.lit("> "), o, F.lit(" .")).alias("value"))
+    """One line a triple, in a column named value. Subjects and objects that begin with _: are blank nodes."""
+    node = lambda c: F.when(F.col(c).startswith("_:"), F.col(c)).otherwise(F.concat(F.lit("<"), I.safe_iri(F.col(c)), F.lit(">")))
+    o = F.when(F.col("kind") == "iri", node("o")).when(F.col("kind") == "string", F.concat(F.lit('"'), I.escape_literal(F.col("o")), F.lit('"'))).otherwise(F.concat(F.lit('"'), F.col("o"), F.lit(f'"^^<{I.STANDARD_PREFIXES["xsd"]}'), F.col("kind"), F.lit(">")))
+    return triples.select(F.concat(node("s"), F.lit(" <"), F.col("p"), F.lit("> "), o, F.lit(" .")).alias("value"))
+
+
+def volumes(graph: Graph) -> DataFrame:
+    """(family, n): how many entities, distinct triples, statements, pathway links and rejects there are."""
+    count = lambda df, name: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("family"), "n")
+    links = graph.statements.agg(F.coalesce(F.sum(F.size("in_pathways")), F.lit(0)).cast("bigint").alias("n")).select(F.lit("pathway links").alias("family"), "n")
+    return count(graph.entities, "entities").union(count(graph.triples, "triples")).union(count(graph.statements, "statements")).union(links).union(count(graph.rejects, "rejects"))
