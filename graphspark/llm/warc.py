@@ -1,7 +1,8 @@
 """WARC archives with revisit resolution.
 
 Headers alone are shuffled by payload digest, a frequent digest's in parts, to find each payload's first record; what is
-to become a revisit is then joined to its page by page and digest, so that copies of one payload do not meet in one task.
+to become a revisit is then joined to its page by page and digest, so that copies of one payload do not meet in one task,
+and payloads are only shuffled where there are many revisits.
 Records are strung together up to a number of bytes, and Spark's own text sink, whose line separator is the blank line
 that ends a record, writes so many of these to a file. Reading parses whole records by their Content-Length.
 """
@@ -15,10 +16,12 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hot_keys, read, salted_join, shared_dir
+from .common import hot_keys, read, salted_join, shared_dir, store
 
 #: Payloads shorter than this are always written in full.
 LEAST = 100
+#: Revisits up to which they are broadcast (about 250 bytes each); beyond, they and the pages are dealt by page and digest.
+BROADCAST_ROWS = 200_000
 #: Bytes up to which records are strung together, and such strings, or single longer records, of one file: a file is read as
 #: a whole, and stays below 2 GB while pages are below 250 MB.
 STRING_BYTES, FILE_STRINGS = 1 << 24, 8
@@ -57,6 +60,8 @@ def resolve_revisits(pages: DataFrame, least: int = LEAST) -> DataFrame:
     late = salted_join(heads, shared.select("payload_digest", "_first"), "payload_digest", hot_keys(counts, "payload_digest", heads.count()), ["page_id", "url"])
     late = late.where(F.col("_first.page_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first.page_id")))
     late = late.select(F.col("page_id").alias("_id"), F.col("payload_digest").alias("_d"), F.col("_first.page_id").alias("refers_to"), F.col("_first.url").alias("refers_url")).distinct()
+    late = store(late, "revisits")
+    late = F.broadcast(late) if late.count() <= BROADCAST_ROWS else late
     revisit = F.col("refers_to").isNotNull()
     return base.join(late, base["page_id"].eqNullSafe(late["_id"]) & (base["payload_digest"] == late["_d"]), "left").select(
         "page_id", "url", "payload", "payload_bytes", "payload_digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"), "refers_to", "refers_url",
