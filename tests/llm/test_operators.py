@@ -261,7 +261,9 @@ def test_top_k(spark):
     assert got == want
 
 
-def test_warc_round_trip(spark, tmp_path):
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_warc_round_trip(spark, tmp_path, monkeypatch, broadcast):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", broadcast)
     page = "<p>" + "x\r\n\r\n" * 40
     rows = [(1, "http://a/\n1", page), (2, "http://a/2", page), (3, None, "short"), (4, "u", "short"), (5, "u", None)]
     resolved = warc.resolve_revisits(spark.createDataFrame(rows, "page_id long, url string, html string"))
