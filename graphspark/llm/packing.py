@@ -27,7 +27,7 @@ from .tokens import grouped, id_memo
 
 #: Rounds of pricing and steps of the shares in each; how sharply weights fall with the cover; how near the best price a
 #: configuration must be; the part of a mixture that new ones take; the steps that are tried; the gap at which to stop.
-ROUNDS, STEPS, SHARPNESS, NEARNESS, ENTER, MOVES, CLOSE = 30, 20, 10.0, 0.03, 0.2, (1.0, 0.5, 0.2, 0.05, 0.0), 1e-3
+ROUNDS, STEPS, SHARPNESS, NEARNESS, ENTER, MOVES, CLOSE = 20, 20, 10.0, 0.03, 0.2, (1.0, 0.5, 0.2, 0.05, 0.0), 1e-3
 #: Scales of a mixture that are tried; columns that stay from round to round, those of the largest shares.
 SCALES = tuple(1 + k / 20 for k in range(-4, 21))
 MOST_COLUMNS = 1500

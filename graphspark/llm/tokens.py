@@ -22,9 +22,9 @@ from .common import read
 
 #: Characters of text that are worked off at once, bytes of one encoded batch.
 PIECE, BATCH_BYTES = 1 << 19, 1 << 20
-#: About how many bytes a worker's memo holds, what an entry takes beside its characters, and the longest chunk, in
-#: characters, that it keeps from one group of texts to the next.
-MEMO_BYTES, ENTRY_BYTES, LONGEST = 1 << 26, 200, 200
+#: About how many bytes each half of a worker's memo holds, chunks and their words, what an entry takes beside its
+#: characters, and the longest chunk, in characters, that is kept from one group of texts to the next.
+MEMO_BYTES, ENTRY_BYTES, LONGEST = 3 << 25, 200, 200
 
 
 def byte_batches(items: list[str], limit: int = BATCH_BYTES) -> Iterator[list[str]]:
@@ -89,7 +89,7 @@ class Memo:
 
     def __init__(self, path: str):
         self.tok, self.known, self.words = tokenizer(path), {}, {}
-        self.held, self.passing = 0, []
+        self.held, self.held_words, self.passing = 0, 0, []
         self.model, self.alphabet = self.tok.model, byte_alphabet()
 
     def value(self, ids: list[int]):
@@ -109,7 +109,7 @@ class Memo:
             found = self.word(marks)
             if len(marks) <= LONGEST:
                 self.words[marks] = found
-                self.held += len(marks) + ENTRY_BYTES
+                self.held_words += len(marks) + ENTRY_BYTES
         return found
 
     def chunk(self, chunk: str, lead: str = ""):
@@ -135,8 +135,10 @@ class Memo:
             self.known.pop(c, None)
         if self.held > MEMO_BYTES:
             self.known.clear()
-            self.words.clear()
             self.held = 0
+        if self.held_words > MEMO_BYTES:
+            self.words.clear()
+            self.held_words = 0
         known, other, lead = self.known, [], " " if self.spaced else ""
         new = chunks.difference(known)
         self.passing = [c for c in new if len(c) > LONGEST]
