@@ -21,6 +21,8 @@ STANDARD_PREFIXES = {
     "obo": "http://purl.obolibrary.org/obo/",
     "pubchem": "http://rdf.ncbi.nlm.nih.gov/pubchem/compound/CID",
 }
+# Fixed value: the stem of evidence statements, which is tried last.
+EVIDENCE_PREFIX = {"indra": "https://db.indra.bio/statements/"}
 # Stems of the registry that lie below a network's own context.
 REGISTRY_PREFIXES = {"uniprot": "http://purl.uniprot.org/uniprot/", "chebi": "http://purl.obolibrary.org/obo/CHEBI_"}
 # Class of a node type, and class that an identifier's prefix entails.
@@ -53,8 +55,8 @@ PREFIX_CLASS = {"uniprot": f"{SIO}010043", "chebi": f"{OBO}CHEBI_23367"}
 
 
 def own_prefixes(base: str = BASE, vocabulary: str = VOCABULARY) -> dict[str, str]:
-    """The standard prefixes and, last, those of the graph's own places."""
-    return STANDARD_PREFIXES | {"graph": base, "graphv": vocabulary}
+    """The standard prefixes, those of the graph's own places, and that of evidence statements."""
+    return STANDARD_PREFIXES | {"graph": base, "graphv": vocabulary} | EVIDENCE_PREFIX
 
 
 def literal_map(values: dict) -> Column:

@@ -337,9 +337,9 @@ def coverage_check(spark, d):
     return resolve.coverage(left, _table(spark, d, "orders").select(F.col("o_custkey").alias("custkey")), "custkey")
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
 def rejects_report(spark, d):
-    return resolve.rejects(_table(spark, d, "customer"), _table(spark, d, "orders"), "c_custkey", "o_custkey").select("c_custkey", "c_name")
+    return resolve.rejects(_table(spark, d, "customer"), _table(spark, d, "orders").where("o_orderstatus = 'P'"), "c_custkey", "o_custkey").select("c_custkey", "c_name")
 
 
 @query("SELECT event_type AS route, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM events), 4) AS share FROM events GROUP BY 1")

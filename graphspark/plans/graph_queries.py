@@ -133,11 +133,8 @@ def canonical_context(spark, d):
     )
 
 
-_PREFIXES = V.prefix_rows(V.Places(), True, True)
-
-
 @query("SELECT * FROM (VALUES " + ", ".join(f"({k}, '{a}', '{b}')" for k, (a, b) in enumerate([
-    *list(I.STANDARD_PREFIXES.items())[:9], ("biolink", V.BIOLINK), ("PW", V.PW), *list(I.STANDARD_PREFIXES.items())[9:], ("pathway", f"{_B}pathway/"), ("family", f"{_B}family/"), ("graph", _B), ("graphv", I.VOCABULARY)])) + ") t(ord, prefix, iri)")
+    *list(I.STANDARD_PREFIXES.items())[:9], ("biolink", V.BIOLINK), ("PW", V.PW), *list(I.STANDARD_PREFIXES.items())[9:], ("pathway", f"{_B}pathway/"), ("family", f"{_B}family/"), ("graph", _B), ("graphv", I.VOCABULARY), *I.EVIDENCE_PREFIX.items()])) + ") t(ord, prefix, iri)")
 def prefix_block(spark, d):
     g = star.graph(spark, d)
     some = not g.axioms.isEmpty(), not g.triples.where(F.col("p") == V.HAS_MEMBER).isEmpty()

@@ -182,7 +182,7 @@ def scored_facts(spark, d):
 #: A reference table of symbols: parts by brand and size.
 _REF = """(SELECT p_partkey, 'G' || p_partkey AS symbol, 'HGNC:' || p_partkey AS gene, CASE WHEN p_partkey % 10 = 0 THEN 'Retired' ELSE 'Approved' END AS status, CASE WHEN p_partkey % 3 = 0 THEN '' WHEN p_partkey % 3 = 1 THEN 'A' || p_partkey ELSE 'A' || p_partkey || '|B' || p_partkey END AS acc,
     CASE WHEN p_partkey % 4 = 0 THEN 'OLD' || p_partkey % 50 ELSE '' END AS prev, CASE WHEN p_partkey % 5 = 0 THEN 'ALIAS' || p_partkey % 60 || '|X' ELSE '' END AS alias FROM part)"""
-_ASKED = """(SELECT DISTINCT CASE c_custkey % 5 WHEN 0 THEN 'G' || c_custkey WHEN 1 THEN 'OLD' || c_custkey % 50 WHEN 2 THEN 'ALIAS' || c_custkey % 60 WHEN 3 THEN 'W' || c_custkey % 9 ELSE 'C' || c_custkey % 7 END AS symbol FROM customer)"""
+_ASKED = """(SELECT DISTINCT CASE c_custkey % 5 WHEN 0 THEN 'G' || c_custkey // 5 WHEN 1 THEN 'OLD' || c_custkey % 50 WHEN 2 THEN 'ALIAS' || c_custkey % 60 WHEN 3 THEN 'W' || c_custkey % 9 ELSE 'C' || c_custkey % 7 END AS symbol FROM customer)"""
 
 
 def _resolved(spark, d):
@@ -193,7 +193,7 @@ def _resolved(spark, d):
         F.when(k % 4 == 0, F.concat(F.lit("OLD"), (k % 50).cast("string"))).otherwise("").alias("prev_symbol"), F.when(k % 5 == 0, F.concat(F.lit("ALIAS"), (k % 60).cast("string"), F.lit("|X"))).alias("alias_symbol"),
     )
     c, ct = F.col("c_custkey"), lambda m: (F.col("c_custkey") % m).cast("string")
-    asked = F.when(c % 5 == 0, F.concat(F.lit("G"), c.cast("string"))).when(c % 5 == 1, F.concat(F.lit("OLD"), ct(50))).when(c % 5 == 2, F.concat(F.lit("ALIAS"), ct(60))).when(c % 5 == 3, F.concat(F.lit("W"), ct(9))).otherwise(F.concat(F.lit("C"), ct(7)))
+    asked = F.when(c % 5 == 0, F.concat(F.lit("G"), F.floor(c / 5).cast("string"))).when(c % 5 == 1, F.concat(F.lit("OLD"), ct(50))).when(c % 5 == 2, F.concat(F.lit("ALIAS"), ct(60))).when(c % 5 == 3, F.concat(F.lit("W"), ct(9))).otherwise(F.concat(F.lit("C"), ct(7)))
     found = symbols.symbols(star.table(spark, d, "customer").select(asked.alias("symbol")), ["symbol"])
     withdrawn = found.where(F.col("symbol").isin("W1", "W2", "W3")).select("symbol", F.concat(F.lit("HGNC:9"), F.substr("symbol", F.lit(2))).alias("gene"))
     cache = found.where(F.col("symbol").isin("C1", "C2", "W2")).select("symbol", F.array(F.concat(F.lit("Z"), "symbol")).alias("accessions"), F.lit("landed").alias("route"))
