@@ -92,7 +92,7 @@ def _parameter(query: Column, name: str) -> Column:
     led, mark = F.concat(F.lit("&"), query), f"&{name}="
     at = F.instr(led, mark)
     found = F.substring_index(F.substr(led, at + len(mark)), "&", 1)
-    plain = F.when(found.rlike("[%+]"), F.try_url_decode(F.replace(found, F.lit(" "), F.lit("%20")))).otherwise(found)
+    plain = F.when(F.contains(found, F.lit("%")) | F.contains(found, F.lit("+")), F.try_url_decode(F.replace(found, F.lit(" "), F.lit("%20")))).otherwise(found)
     return F.nullif(F.when(at > 0, plain), F.lit(""))
 
 
@@ -113,23 +113,30 @@ def text_relation(text: Column) -> Column:
 
 def items(html: Column) -> Column:
     """Array of (text, url, n) of all items in order; null for null."""
+    return F.transform(_matches(html), lambda x: F.struct(*_item(x)))
 
-    def one(x: Column) -> Column:
-        # In a match the text has no <, so the first two after <li/> are those of the link and of its end.
-        link = F.substr(x, F.instr(x, "(<a") + 3)
-        text = F.substr(x, F.lit(6), F.instr(x, "(<a") - 6)
-        n = F.substring_index(F.substring_index(x, "</a>", 1), ">", -1)
-        return F.struct(text.alias("text"), F.substring_index(F.substring_index(link, '"', 2), '"', -1).alias("url"), n.cast("bigint").alias("n"))
 
-    return F.transform(F.regexp_extract_all(html, F.lit(ITEM), F.lit(0)), one)
+def _matches(html: Column) -> Column:
+    return F.regexp_extract_all(html, F.lit(ITEM), F.lit(0))
+
+
+def _item(x: Column) -> tuple[Column, Column, Column]:
+    """Text, URL and count of a match."""
+    # In a match the text has no <, so the first two after <li/> are those of the link and of its end.
+    link = F.substr(x, F.instr(x, "(<a") + 3)
+    text = F.substr(x, F.lit(6), F.instr(x, "(<a") - 6)
+    n = F.substring_index(F.substring_index(x, "</a>", 1), ">", -1)
+    return text.alias("text"), F.substring_index(F.substring_index(link, '"', 2), '"', -1).alias("url"), n.cast("bigint").alias("n")
 
 
 def relations(html: Column) -> Column:
-    """Array of (subject, object, kind, n, url) of the items that state a relation: by URL, else by text; others are left out.
+    """Array of (subject, object, kind, n, url) of the items that state a relation: by URL, else by text; others are left out."""
+    return _relations(_matches(html))
 
-    Each step is an array of its own, made once: what a lambda gets is a value, where a column would be worked out again
-    wherever it is referred to.
-    """
+
+def _relations(matches: Column) -> Column:
+    """Each step is an array of its own, made once: what a lambda gets is a value, where a column would be worked out again
+    wherever it is referred to."""
 
     def by_url(x: Column) -> Column:
         params = F.get(F.transform(F.array(_query(x["url"])), lambda q: F.struct(*[_parameter(q, p).alias(p) for p in ("subject", "object", "type")])), F.lit(0))
@@ -141,17 +148,36 @@ def relations(html: Column) -> Column:
         link = F.struct(p["subject"].alias("subject"), p["object"].alias("object"), p["type"].alias("kind"))
         return F.struct(F.when(stated, link).otherwise(text_relation(trimmed(x["text"]))).alias("r"), x["n"].alias("n"), x["url"].alias("url"))
 
-    made = F.filter(F.transform(F.transform(items(html), by_url), whole), lambda z: z["r"].isNotNull())
+    found = F.transform(matches, lambda x: F.struct(*_item(x)))
+    made = F.filter(F.transform(F.transform(found, by_url), whole), lambda z: z["r"].isNotNull())
     return F.transform(made, lambda z: F.struct(z["r"]["subject"].alias("subject"), z["r"]["object"].alias("object"), z["r"]["kind"].alias("kind"), z["n"].alias("n"), z["url"].alias("url")))
 
 
+def exploded_outer(df: DataFrame, html: str | Column, *keep: str) -> DataFrame:
+    """``keep`` columns, i (place among the relations of the row) and r (a relation), one row a relation; r is null for a row
+    that states none.
+
+    What most rows have is one item: its relation is worked out in columns, which are compiled, not in lambdas.
+    """
+    html = F.col(html) if isinstance(html, str) else html
+    found = df.select(*keep, _matches(html).alias("_m"))
+    found = found.select("*", (F.size("_m") == 1).alias("_one"), F.when(F.size("_m") == 1, F.get("_m", F.lit(0))).alias("_x"))
+    text, url, n = _item(F.col("_x"))
+    found = found.select(*keep, "_m", "_one", text.alias("_text"), url.alias("_url"), n.alias("_k"))
+    found = found.select("*", _query(F.col("_url")).alias("_q"))
+    found = found.select("*", *[_parameter(F.col("_q"), p).alias(f"_{p}") for p in ("subject", "object", "type")])
+    stated = F.col("_subject").isNotNull() & F.col("_object").isNotNull() & F.col("_type").isNotNull()
+    link = F.struct(F.col("_subject").alias("subject"), F.col("_object").alias("object"), F.col("_type").alias("kind"), F.col("_k").alias("n"), F.col("_url").alias("url"))
+    single = F.col("_one") & stated
+    return found.select(*keep, F.posexplode_outer(F.when(F.coalesce(single, F.lit(False)), F.array(link)).otherwise(_relations(F.col("_m")))).alias("i", "r"))
+
+
 def exploded(df: DataFrame, html: str | Column, *keep: str) -> DataFrame:
-    """``keep`` columns, i (place among the relations of the row) and r (a relation), one row a relation.
+    """``exploded_outer`` without the rows that state no relation.
 
     An outer explode, filtered after it: an inner one would infer a filter that works the relations out once more.
     """
-    html = F.col(html) if isinstance(html, str) else html
-    return df.select(*keep, F.posexplode_outer(relations(html)).alias("i", "r")).where(F.col("r").isNotNull())
+    return exploded_outer(df, html, *keep).where(F.col("r").isNotNull())
 
 
 def evidence_urls(html: Column) -> Column:
