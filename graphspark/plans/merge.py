@@ -58,8 +58,11 @@ class Merged:
         """The files' own nodes with their key and the id that it was given (unified)."""
         raw = self._elements.where("aspect = 'nodes'").select("file", "ord", F.from_json("element", "struct<id:bigint,x:double,y:double,z:double,v:variant>").alias("n")).select("file", "ord", "n.*")
         bag = F.coalesce(_bag(), F.create_map().cast("map<string,string>"))
-        plain = F.map_from_entries(F.transform(F.array(*[F.lit(k) for k in ("represents", "r", "name", "n")]), lambda k: F.struct(k, _plain(F.col("_m"), k))))
-        nodes = raw.withColumn("_m", bag).select("file", "ord", "id", "x", "y", "z", "v", I.node_key(plain, F.col("id"), F.col("file")).alias("key"))
+        # Each name is read once, as a column of its own: within a key's expression it would be read again wherever it stands.
+        names = ("represents", "r", "name", "n")
+        read = raw.withColumn("_m", bag).select("file", "ord", "id", "x", "y", "z", "v", *[F.get_json_object(F.concat(F.lit('{"x":'), F.try_element_at("_m", F.lit(k)), F.lit("}")), "$.x").alias(f"_{k}") for k in names])
+        plain = F.create_map(*[x for k in names for x in (F.lit(k), F.col(f"_{k}"))])
+        nodes = read.select("file", "ord", "id", "x", "y", "z", "v", I.node_key(plain, F.col("id"), F.col("file")).alias("key"))
         heads = nodes.groupBy("key").agg(F.min(F.struct("file", "ord")).alias("_first"))
         ids = dense_positions(heads, ["_first"], "unified").select("key", F.col("unified").cast("bigint").alias("unified"))
         return store(nodes.join(ids, "key"), "known")

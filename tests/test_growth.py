@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from graphspark.functions import evidence as E
 from graphspark.plans import convert as V
 from graphspark.plans import graph_queries as Q
+from graphspark.plans import merge as M
 from graphspark.plans import star
 
 SF = "/root/testdata/sf0.001"
@@ -39,3 +40,18 @@ def test_prefixes_are_made_once(spark):
 def test_counts_of_edges_read_no_evidence(spark):
     plan = Q.edge_routing(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "map(" not in plan and "x.org" not in plan
+
+
+def test_names_of_nodes_are_read_once(spark, monkeypatch):
+    plans, real = {}, M.store
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return real(df, label)
+
+    monkeypatch.setattr(M, "store", seen)
+    nodes = '[{"id":1,"v":{"r":"up:1","n":"a"}},{"id":2,"v":{"represents":"","n":"b"}},{"id":3,"v":{}},{"id":4}]'
+    found = M.merge(spark.createDataFrame([("a.cx2", f'[{{"nodes":{nodes}}}]')], "net string, content string"))._known
+    assert {r.id: r.key for r in found.collect()} == {1: "up:1", 2: "__file0__b", 3: "__file0__3", 4: "__file0__4"}
+    projected = [line for line in plans["known"].splitlines() if "Project [" in line]
+    assert sum(line.count("get_json_object") for line in projected) == 4
