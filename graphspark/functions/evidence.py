@@ -9,6 +9,11 @@ from .identifiers import literal_map, trimmed
 
 # Fixed value: one item, with its text, URL and count.
 ITEM = r'<li/>([^<]+)\(<a\s+href="([^"]+)"[^>]*>(\d+)</a>\)'
+# One item and nothing else, whose URL states a relation without anything to decode: URL, subject, object, type and count. Of a
+# parameter the first place counts, which an atomic group holds to; the bound keeps the match from going deep.
+_FIRST = "".join(rf'(?=(?>(?:[^"&#]*&){{0,50}}?{name}=)([^"&#%+]+)[&#"])' for name in ("subject", "object", "type"))
+PLAIN = rf'\A<li/>[^<]+\(<a\s+href="([A-Za-z][A-Za-z0-9+.-]*:[^"?#]*\?{_FIRST}[^"#]*(?:#[^"]*)?)"[^>]*>(\d+)</a>\)\z'
+_MARK = "\x01"
 # Verbs and the relation types that they state.
 VERB_TYPE = {
     "binds": "Complex",
@@ -157,19 +162,18 @@ def exploded_outer(df: DataFrame, html: str | Column, *keep: str) -> DataFrame:
     """``keep`` columns, i (place among the relations of the row) and r (a relation), one row a relation; r is null for a row
     that states none.
 
-    What most rows have is one item: its relation is worked out in columns, which are compiled, not in lambdas.
+    What most rows have is one item with a plain link: one match gives its parts, in compiled columns; all others are read in
+    lambdas.
     """
     html = F.col(html) if isinstance(html, str) else html
-    found = df.select(*keep, _matches(html).alias("_m"))
-    found = found.select("*", (F.size("_m") == 1).alias("_one"), F.when(F.size("_m") == 1, F.get("_m", F.lit(0))).alias("_x"))
-    text, url, n = _item(F.col("_x"))
-    found = found.select(*keep, "_m", "_one", text.alias("_text"), url.alias("_url"), n.alias("_k"))
-    found = found.select("*", _query(F.col("_url")).alias("_q"))
-    found = found.select("*", *[_parameter(F.col("_q"), p).alias(f"_{p}") for p in ("subject", "object", "type")])
-    stated = F.col("_subject").isNotNull() & F.col("_object").isNotNull() & F.col("_type").isNotNull()
-    link = F.struct(F.col("_subject").alias("subject"), F.col("_object").alias("object"), F.col("_type").alias("kind"), F.col("_k").alias("n"), F.col("_url").alias("url"))
-    single = F.col("_one") & stated
-    return found.select(*keep, F.posexplode_outer(F.when(F.coalesce(single, F.lit(False)), F.array(link)).otherwise(_relations(F.col("_m")))).alias("i", "r"))
+    found = df.select(*keep, html.alias("_h"))
+    found = found.select("*", F.split(F.regexp_replace("_h", PLAIN, "".join(f"{_MARK}${k}" for k in range(1, 6))), _MARK).alias("_p"))
+    url, subject, object_, kind, n = [F.get("_p", F.lit(k)) for k in range(1, 6)]
+    link = F.struct(subject.alias("subject"), object_.alias("object"), kind.alias("kind"), n.cast("bigint").alias("n"), url.alias("url"))
+    # A text that holds the mark itself is not taken apart by it.
+    single = F.coalesce((F.size("_p") == 6) & ~F.contains("_h", F.lit(_MARK)), F.lit(False))
+    found = found.select(*keep, F.when(single, F.array(link)).otherwise(_relations(_matches(F.col("_h")))).alias("_r"))
+    return found.select(*keep, F.posexplode_outer("_r").alias("i", "r"))
 
 
 def exploded(df: DataFrame, html: str | Column, *keep: str) -> DataFrame:

@@ -32,6 +32,34 @@ def test_axioms_and_families_read_no_statements(spark):
     assert g.triples_of_kind(V.PARTICIPATES).count() > 0 and "_stated" not in vars(g)
 
 
+def test_a_plain_item_says_what_any_does(spark):
+    link = lambda query, scheme="https://x.org/e", n=1: f'<li/>A binds B(<a href="{scheme}{query}" target="_blank">{n}</a>)'
+    texts = [
+        link("?type=t&object=o&subject=s"), link("?subject=1&subject=2&object=3&object=4&type=5&type="), link("?subject=&subject=2&object=3&type=4"), link("?subject=a%26b&subject=c&object=d&type=e"),
+        link("?xsubject=0&subject=1&object=2&type=3#subject=9&type=8"), link("#?subject=1&object=2&type=3"), link("?a?subject=0&subject=1&object=2&type=3"), link("?subject=1&object=2&type=3", scheme="no-scheme"),
+        link("?subject=\x01&object=2&type=3"), link("?subject=1&object=2&type=3") + "\n", "x" + link("?subject=1&object=2&type=3"), link("?" + "k=v&" * 60 + "subject=1&object=2&type=3"), link("?subject=1&object=2&type=3", n="007"), "\x01u\x01s\x01o\x01t\x011",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, h string")
+    got = [(r.k, r.i, tuple(r.r)) for r in E.exploded(rows, "h", "k").orderBy("k", "i").collect()]
+    want = [(r.k, r.i, tuple(r.r)) for r in rows.select("k", F.posexplode(E.relations(F.col("h"))).alias("i", "r")).orderBy("k", "i").collect()]
+    assert got == want and len({k for k, _, _ in got}) == 13
+
+
+def test_statements_read_no_memberships_and_texts_are_not_moved(spark, monkeypatch):
+    plans, real = {}, V.store
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, label)
+
+    monkeypatch.setattr(V, "store", seen)
+    g = V.convert(star.networks(spark, SF), chemicals=star.chemicals(spark, SF))
+    assert g.bare_statements.count() > 0 and "_linked" not in vars(g)
+    # Below the joins with nodes, each relation is read; above, nothing is.
+    joins = plans["graph_stated"].index("ShuffledHashJoin")
+    assert "regexp_replace" not in plans["graph_stated"][:joins] and "regexp_extract_all" not in plans["graph_stated"][:joins]
+
+
 def test_prefixes_are_made_once(spark):
     plan = Q.canonical_context(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("map_from_entries") == 1
