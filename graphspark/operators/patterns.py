@@ -42,6 +42,15 @@ def within(statements: DataFrame, group: str) -> DataFrame:
     return statements.where(F.array_contains("in_pathways", group))
 
 
+def within_members(statements: DataFrame, memberships: DataFrame, group: str) -> DataFrame:
+    """``within`` for statements that do not list their pathways: those whose two ends are members of ``group`` in their
+    network. Only the members of this group are met with."""
+    members = memberships.where(F.col("o") == group).select(F.col("net").alias("_net"), F.col("s").alias("_member"))
+    for side in ("s", "o"):
+        statements = statements.join(members, (F.col("net") == F.col("_net")) & (F.col(side) == F.col("_member")), "left_semi")
+    return statements
+
+
 def families_of(triples: DataFrame, entities: DataFrame, class_: str, predicate: str) -> DataFrame:
     """(family, label, member): the members of entities of a class; two patterns that meet in the family."""
     families = entities.where(F.col("class") == class_).select(F.col("iri").alias("family"), "label")

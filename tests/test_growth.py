@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from graphspark.functions import evidence as E
+from graphspark.operators import patterns
 from graphspark.plans import convert as V
 from graphspark.plans import graph_queries as Q
 from graphspark.plans import merge as M
@@ -60,6 +61,15 @@ def test_statements_read_no_memberships_and_texts_are_not_moved(spark, monkeypat
     assert "regexp_replace" not in plans["graph_stated"][:joins] and "regexp_extract_all" not in plans["graph_stated"][:joins]
 
 
+def test_one_pathway_needs_no_lists_of_pathways(spark):
+    plan = Q.pathway_scope(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_intersect" not in plan and "collect_set" not in plan and plan.count("LeftSemi") == 2
+    g = star.graph(spark, SF)
+    pathway = g.memberships.first().o
+    rows = lambda df: sorted(tuple(r) for r in df.select("net", "stmt").collect())
+    assert rows(patterns.within(g.statements, pathway)) == rows(patterns.within_members(g.bare_statements, g.memberships, pathway)) != []
+
+
 def test_prefixes_are_made_once(spark):
     plan = Q.canonical_context(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("map_from_entries") == 1
